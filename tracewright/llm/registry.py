@@ -1,7 +1,7 @@
 """Queries of this subpackage and their SQL, for the entry module."""
 
-from tracewright.llm import neardup, rebuild, tokens
+from tracewright.llm import neardup, rebuild, splits, tokens
 
-_MODULES = (tokens, neardup, rebuild)
+_MODULES = (tokens, neardup, rebuild, splits)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in getattr(m, "ORACLES", {}).items()}
