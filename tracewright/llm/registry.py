@@ -1,7 +1,7 @@
 """Queries of this subpackage and their SQL, for the entry module."""
 
-from tracewright.llm import leakage, mixture, neardup, rebuild, splits, tokens
+from tracewright.llm import leakage, mixture, neardup, rebuild, splits, tokens, truncation
 
-_MODULES = (tokens, neardup, rebuild, splits, leakage, mixture)
+_MODULES = (tokens, neardup, rebuild, splits, leakage, mixture, truncation)
 QUERIES = {k: v for m in _MODULES for k, v in m.QUERIES.items()}
 ORACLES = {k: v for m in _MODULES for k, v in getattr(m, "ORACLES", {}).items()}
