@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from tracewright.llm.neardup import both_session_tables
 from tracewright.llm.textkit import language, visible
 from tracewright.llm.truncation import cut_texts
+from tracewright.session import durable
 
 #: What a refusing sentence says, by language.  Such a sentence names no code.
 REFUSALS = [
@@ -198,7 +199,7 @@ def answers(sessions: DataFrame) -> DataFrame:
 def broken_pairs(sessions: DataFrame) -> DataFrame:
     """rec_id, msg_no, defect.  A pair has at most one of empty, refusal, echo, language, truncated, in this
     order.  Null and empty sessions have no pair; equal rows give equal answers; an empty table none."""
-    certain = certain_defects(sessions)
+    certain = durable(certain_defects(sessions))  # read twice; a few rows a thousand sessions
     cut = cut_texts(answers(sessions)).where("cut_end or cut_start").select("rec_id", F.col("item_no").alias("msg_no"))
     known = certain.where(~F.col("defect").startswith("tool_")).select("rec_id", "msg_no")
     return certain.unionByName(cut.join(known, ["rec_id", "msg_no"], "left_anti").withColumn("defect", F.lit("truncated"))).distinct()
