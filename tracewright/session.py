@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import os
 import tempfile
+import zipfile
+from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -13,6 +15,23 @@ from pyspark.sql import types as T
 BROADCAST_LIMIT_BYTES = 64 << 20
 
 
+_shipped: set[str] = set()
+
+
+def ship(spark: SparkSession) -> None:
+    """Sends this package to the executors unless their Python path already has it."""
+    root = Path(__file__).resolve().parent.parent
+    app = spark.sparkContext.applicationId
+    if app in _shipped or str(root) in os.environ.get("PYTHONPATH", "").split(os.pathsep):
+        return
+    archive = Path(tempfile.mkdtemp(prefix="tracewright-")) / "tracewright.zip"
+    with zipfile.ZipFile(archive, "w") as z:
+        for file in sorted((root / "tracewright").rglob("*.py")):
+            z.write(file, file.relative_to(root))
+    spark.sparkContext.addPyFile(str(archive))
+    _shipped.add(app)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     """The parquet table ``name`` of the directory; a file or a folder of part files."""
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
