@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import os
 import tempfile
+import uuid
 import zipfile
 from pathlib import Path
 
@@ -16,6 +17,7 @@ BROADCAST_LIMIT_BYTES = 64 << 20
 
 
 _shipped: set[str] = set()
+_folders: set[str] = set()
 
 
 def ship(spark: SparkSession) -> None:
@@ -57,9 +59,19 @@ def checkpoint_dir(spark: SparkSession) -> str:
 
 
 def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a reliable checkpoint in the shared folder; survives lost executors."""
-    checkpoint_dir(df.sparkSession)
-    return df.checkpoint(eager=True)
+    """Cut the lineage with a table written into the shared checkpoint folder; survives lost executors.
+
+    Columnar and compressed, so a later step reads only the columns it needs and the planner knows the
+    table's size.  The folder is removed when the application ends."""
+    spark = df.sparkSession
+    base = f"{checkpoint_dir(spark).rstrip('/')}/tracewright-{spark.sparkContext.applicationId}"
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(base)
+    if base not in _folders:
+        hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
+        _folders.add(base)
+    path = f"{base}/{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def bounded_collect(df: DataFrame, max_rows: int, what: str) -> list:
