@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tracewright.functions import text as X
+from tracewright.functions.jsonx import strict_json
 from tracewright.operators import messages as M
 from tracewright.session import MESSAGE
 
@@ -90,13 +91,14 @@ def transcripts(spark: SparkSession, path: str, least: int = 200) -> DataFrame:
 
 def parse_input(df: DataFrame, text: str) -> DataFrame:
     """One row for each record of whole texts (S-6): a JSON array gives its items, an object one, else each line must be JSON."""
-    t = F.trim(text)
-    is_array = t.startswith("[") & F.try_parse_json(t).isNotNull()
-    is_object = t.startswith("{") & F.try_parse_json(t).isNotNull() & ~F.coalesce(t.rlike(r"\}\s*\n\s*\{"), F.lit(False))
+    whole = df.withColumn("__t", F.trim(text)).withColumn("__json", strict_json(F.trim(text)))
+    t = F.col("__t")
     each_line = F.filter(F.split(t, r"\r?\n"), lambda x: F.trim(x) != "")
-    checked = F.transform(each_line, lambda x: F.when(F.try_parse_json(x).isNull(), F.raise_error(F.concat(F.lit("bad line: "), F.substring(x, 1, 80)))).otherwise(x))
-    records = F.when(t == "", F.raise_error(F.lit("empty input"))).when(is_array, F.transform(F.try_variant_get(F.try_parse_json(t), "$", "array<variant>"), lambda v: F.to_json(v))).when(is_object, F.array(t)).otherwise(checked)
-    return df.select(*[c for c in df.columns if c != text], F.posexplode(records).alias("record_no", "record"))
+    items = F.transform(F.try_variant_get(F.try_parse_json(t), "$", "array<variant>"), lambda v: F.to_json(v))
+    records = F.when(t == "", F.raise_error(F.lit("empty input"))).when(F.col("__json") & t.startswith("["), items).when(F.col("__json") & t.startswith("{"), F.array(t)).otherwise(each_line)
+    rows = whole.select(*[c for c in df.columns if c != text], "__json", F.posexplode(records).alias("record_no", "record"))
+    fine = F.col("__json") | strict_json(F.col("record"))
+    return rows.withColumn("record", F.when(fine, F.col("record")).otherwise(F.raise_error(F.concat(F.lit("bad line: "), F.substring("record", 1, 80))))).drop("__json")
 
 
 def extract_session(record: Column) -> Column:
@@ -128,7 +130,7 @@ def dataset_files(spark: SparkSession, root: str) -> tuple[str, str | None]:
 
 def text_corpus(spark: SparkSession, root: str) -> DataFrame:
     """(path, text) of the text files below a folder, without some folders (S-10)."""
-    df = spark.read.option("wholetext", True).option("recursiveFileLookup", True).text(root).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
+    df = spark.read.option("recursiveFileLookup", True).text(root, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.col("value").alias("text"))
     return df.where(F.lower(F.substring_index("path", ".", -1)).isin(TEXT_ENDINGS)).where(~F.col("path").rlike("/(" + "|".join(s.replace(".", r"\.") for s in SKIP_FOLDERS) + ")/"))
 
 
@@ -192,7 +194,7 @@ def loader(ending: str):
 @loader(".json")
 def _load_json(spark: SparkSession, path: str) -> DataFrame:
     """The items of a list, or the value itself."""
-    whole = spark.read.option("wholetext", True).text(path)
+    whole = spark.read.text(path, wholetext=True)
     v = F.parse_json("value")
     items = F.when(F.schema_of_variant(v).startswith("ARRAY"), F.variant_get(v, "$", "array<variant>")).otherwise(F.array(v))
     return whole.select(F.posexplode(items).alias("_ord", "item")).select("_ord", F.to_json("item").alias("item"))
@@ -201,7 +203,7 @@ def _load_json(spark: SparkSession, path: str) -> DataFrame:
 @loader(".jsonl")
 def _load_jsonl(spark: SparkSession, path: str) -> DataFrame:
     """Each line's value; a bad line is an error with the path and its number from 1."""
-    whole = spark.read.option("wholetext", True).text(path).select(F.posexplode(F.split("value", r"\r?\n")).alias("k", "line")).where(F.trim("line") != "")
+    whole = spark.read.text(path, wholetext=True).select(F.posexplode(F.split("value", r"\r?\n")).alias("k", "line")).where(F.trim("line") != "")
     bad = F.raise_error(F.concat(F.lit(f"{path}:"), (F.col("k") + 1).cast("string"), F.lit(": bad JSON")))
     return whole.select(F.col("k").alias("_ord"), F.when(F.try_parse_json("line").isNull(), bad).otherwise(F.col("line")).alias("item"))
 
@@ -235,9 +237,9 @@ def key_values(df: DataFrame, text: str) -> DataFrame:
 
 def run_catalogue(spark: SparkSession, root: str) -> DataFrame:
     """Run artefacts (S-21): metadata of runs/*/*/metadata.json with the summary beside it, if any."""
-    meta = spark.read.option("wholetext", True).text(f"{root}/*/*/metadata.json").select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/metadata\.json$", 1).alias("run"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/metadata\.json$", 2).alias("problem"), F.col("value").alias("metadata"))
+    meta = spark.read.text(f"{root}/*/*/metadata.json", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/metadata\.json$", 1).alias("run"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/metadata\.json$", 2).alias("problem"), F.col("value").alias("metadata"))
     try:
-        notes = spark.read.option("wholetext", True).text(f"{root}/*/*/failure-summary.json").select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/[^/]+$", 1).alias("run"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/[^/]+$", 2).alias("problem"), F.col("value").alias("summary"))
+        notes = spark.read.text(f"{root}/*/*/failure-summary.json", wholetext=True).select(F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/[^/]+$", 1).alias("run"), F.regexp_extract(F.col("_metadata.file_path"), r"([^/]+)/([^/]+)/[^/]+$", 2).alias("problem"), F.col("value").alias("summary"))
     except Exception:  # noqa: BLE001  no summary file exists
         return meta.withColumn("summary", F.lit(None).cast("string"))
     return meta.join(notes, ["run", "problem"], "left")

@@ -53,7 +53,7 @@ class SessionReader(DataSourceReader):
         with _open(self.path) as db:
             low, high = db.execute(f'SELECT min(rowid), max(rowid) FROM "{self.table}"').fetchone()
         if low is None:
-            return []
+            return [RowRange(0, -1)]  # an empty range: no partition at all would be read as one of None
         return [RowRange(a, min(a + ROWS_PER_PARTITION - 1, high)) for a in range(low, high + 1, ROWS_PER_PARTITION)]
 
     def read(self, partition: RowRange) -> Iterator[tuple]:
