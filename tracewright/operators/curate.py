@@ -153,19 +153,20 @@ def contamination_counts(rows: DataFrame, hits: DataFrame, key: str) -> DataFram
 
 # --- balance and splits ---------------------------------------------------------------------------
 
-def _first_by_hash(rows: DataFrame, group: str, key: str, caps: DataFrame, seed: str) -> DataFrame:
-    """Exactly ``cap`` rows of each group, those of the lowest hashes.
+def _first_by_hash(rows: DataFrame, group: list[str], key: str, cap, seed: str) -> DataFrame:
+    """Exactly ``cap`` rows of each group, those of the lowest hashes; ``cap`` turns the table of bins into
+    one with a column cap.
 
-    A histogram over hash bins finds the bin in which the cap falls; only that bin's rows are ranked, so
-    no window ever holds a whole group."""
+    A histogram over hash bins tells how many rows each bin gives.  Bins given whole need no order; only
+    the rows of the bin in which the cap falls are ranked, so no window ever holds a whole group."""
     h = rows.withColumn("__h", X.hash16(F.lit(seed), F.col(key).cast("string"))).withColumn("__bin", F.conv(F.substring("__h", 1, 4), 16, 10).cast("int"))
-    counts = h.groupBy(group, "__bin").agg(F.count(F.lit(1)).alias("__n"))
-    before = F.coalesce(F.sum("__n").over(Window.partitionBy(group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
-    edge = counts.withColumn("__before", before).join(caps, group).where("__before < cap and __before + __n >= cap").select(group, F.col("__bin").alias("__edge"), (F.col("cap") - F.col("__before")).alias("__take"))
-    marked = h.join(edge, group, "left")
-    whole = marked.where(F.col("__edge").isNull() | (F.col("__bin") < F.col("__edge")))
-    last = marked.where(F.col("__bin") == F.col("__edge")).withColumn("__r", F.row_number().over(Window.partitionBy(group).orderBy("__h", key))).where("__r <= __take").drop("__r")
-    return whole.unionByName(last).drop("__h", "__bin", "__edge", "__take")
+    counts = h.groupBy(*group, "__bin").agg(F.count(F.lit(1)).alias("__n"))
+    before = F.coalesce(F.sum("__n").over(Window.partitionBy(*group).orderBy("__bin").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each bin
+    given = cap(counts.withColumn("__before", before)).select(*group, "__bin", "__n", F.greatest(F.lit(0), F.least("__n", F.col("cap") - F.col("__before"))).alias("__take")).where("__take > 0")
+    marked = h.join(given, [*group, "__bin"])
+    whole = marked.where("__take = __n")
+    last = marked.where("__take < __n").withColumn("__r", F.row_number().over(Window.partitionBy(*group, "__bin").orderBy("__h", key))).where("__r <= __take").drop("__r")
+    return whole.unionByName(last).drop("__h", "__bin", "__n", "__take")
 
 
 def balance(rows: DataFrame, source: str, key: str, max_ratio: float, seed: str = "0") -> DataFrame:
@@ -178,15 +179,15 @@ def balance(rows: DataFrame, source: str, key: str, max_ratio: float, seed: str
     least, sources = sizes.agg(F.min("n")).scalar(), sizes.agg(F.count(F.lit(1))).scalar()
     cap = F.when(sources < 2, F.lit(1 << 62)).otherwise(F.greatest(F.lit(1), F.floor(least * max_ratio))).cast("bigint")
     caps = sizes.select(source, cap.alias("cap"))
-    return _first_by_hash(rows, source, key, caps, seed)
+    return _first_by_hash(rows, [source], key, lambda bins: bins.join(caps, source), seed)
 
 
 def hash_group_split(rows: DataFrame, group: str, fraction: float, seed: str = "0") -> DataFrame:
     """rows with _split: whole groups in the order of their seeded hash, the first max(1, round(fraction *
     groups)) are eval (O-3, J-2)."""
     groups = rows.select(F.coalesce(F.col(group).cast("string"), F.lit("")).alias("__g")).distinct()
-    total = groups.agg(F.count(F.lit(1)).alias("n")).withColumn("cap", F.greatest(F.lit(1), F.bround(F.col("n") * fraction, 0).cast("bigint"))).select(F.lit(1).alias("__one"), "cap")
-    chosen = _first_by_hash(groups.withColumn("__one", F.lit(1)), "__one", "__g", total, seed).select("__g").withColumn("__eval", F.lit(True))
+    cap = F.greatest(F.lit(1), F.bround(groups.agg(F.count(F.lit(1))).scalar() * fraction, 0).cast("bigint"))
+    chosen = _first_by_hash(groups, [], "__g", lambda bins: bins.withColumn("cap", cap), seed).select("__g").withColumn("__eval", F.lit(True))
     return rows.withColumn("__g", F.coalesce(F.col(group).cast("string"), F.lit(""))).join(chosen, "__g", "left").withColumn("_split", F.when(F.col("__eval"), "eval").otherwise("train")).drop("__g", "__eval")
 
 

@@ -46,7 +46,7 @@ def checkpoint_dir(spark: SparkSession) -> str:
     on a cluster a machine-local folder would be lost with its machine, so that is an error.
     """
     sc = spark.sparkContext
-    named = sc.getConf().get("spark.checkpoint.dir")
+    named = spark.conf.get("spark.checkpoint.dir", None) or sc.getConf().get("spark.checkpoint.dir")
     current = sc._jsc.sc().getCheckpointDir()
     if current.isDefined():
         return named or current.get()
