@@ -6,15 +6,22 @@ dedupe changes session keys, so the order is part of the result.
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tracewright.functions import text as X
+from tracewright.functions.runs import WordHasher, rolling
 from tracewright.operators import messages as M
 from tracewright.operators.quality import drop_reasons
 from tracewright.session import bounded_collect, durable, ensure_small
 
 MAX_MARKERS = 10_000
+#: Runs of the benchmark that one pass over the documents takes; twice the hash's size must fit a broadcast.
+RUNS_PER_BLOCK = 4_000_000
 HASH_BINS = 65_536
 
 
@@ -107,15 +114,54 @@ def greedy_near_dedupe(docs: DataFrame, key: str, text: str, threshold: float =
 
 # --- decontamination ------------------------------------------------------------------------------
 
+def _hit_runs(df: DataFrame, key: str, text: str, n: int, wanted=None) -> DataFrame:
+    """(key, h, gram): runs of n words of the lower-cased text, of ``wanted`` hashes (a broadcast sorted
+    array) only if given; one row for each run of a text."""
+    schema = df.select(key).schema.add("h", "long").add("gram", "string")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        some = None if wanted is None else wanted.value
+        for batch in batches:
+            row, hashes, grams = [], [], []
+            for k, t in enumerate(batch.column(1).to_pylist()):
+                w = t.lower().split() if t else ()
+                h = rolling(hasher(w), n) if len(w) >= n else ()
+                if not len(h):
+                    continue
+                if some is None:
+                    at = range(len(h))
+                else:
+                    place = np.searchsorted(some, h)
+                    place[place == len(some)] = 0
+                    at = np.flatnonzero(some[place] == h) if len(some) else ()
+                for j in at:
+                    row.append(k)
+                    hashes.append(int(h[j].view(np.int64)))
+                    grams.append(" ".join(w[j : j + n]))
+            yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(row, pa.int64())), pa.array(hashes, pa.int64()), pa.array(grams, pa.string())], names=schema.names)
+
+    return df.select(key, text).mapInArrow(run, schema)
+
+
 def contaminated(docs: DataFrame, key: str, text: str, benchmark: DataFrame, bench_text: str, n: int = 13) -> DataFrame:
-    """Keys of documents that share a run of n words with the benchmark (J-1).
-
-    Runs meet as 64-bit hashes in a semi-join (the benchmark side is broadcast by the optimiser when it is
-    small); hits are then checked on the words themselves."""
-    grams = lambda df, t: df.select("*", F.explode(X.ngrams(F.col(t), n)).alias("gram")).withColumn("h", F.xxhash64("gram"))
-    bench = grams(benchmark.select(F.col(bench_text).alias("__b")), "__b").select("h", "gram").distinct()
-    mine = grams(docs.select(key, F.col(text).alias("__t")), "__t").select(key, "h", "gram")
-    return mine.join(bench.withColumnRenamed("gram", "__g"), "h").where("gram = __g").select(key).distinct()
+    """Keys of documents that share a run of n words with the benchmark (J-1); null texts share none.
+
+    The benchmark's distinct runs, as hashes, are the query side: they run in blocks of ``RUNS_PER_BLOCK``
+    (one for any usual benchmark), each held sorted on every executor, against all documents in a narrow
+    pass that gives out only hits.  Hits are then checked on the words themselves."""
+    spark = docs.sparkSession
+    bench = durable(_hit_runs(benchmark.select(F.lit(0).alias("__k"), F.col(bench_text).alias("__b")), "__k", "__b", n).select("h", "gram").distinct())
+    blocks = max(1, -(-bench.count() // RUNS_PER_BLOCK))
+    out: DataFrame | None = None
+    for block in range(blocks):
+        mine = bench.where(F.pmod("h", F.lit(blocks)) == block)
+        hashes = np.sort(mine.select("h").distinct().toArrow().column(0).to_numpy().view(np.uint64))
+        ensure_small(hashes.nbytes, "benchmark runs")
+        hits = _hit_runs(docs, key, text, n, spark.sparkContext.broadcast(hashes))
+        found = hits.join(mine, ["h", "gram"]).select(key)
+        out = found if out is None else out.unionByName(found)
+    return out.distinct()
 
 
 def decontaminate(docs: DataFrame, key: str, text: str, benchmark: DataFrame, bench_text: str, n: int = 13) -> DataFrame:
