@@ -21,8 +21,32 @@ def test_usage_fallbacks(spark):
     assert got == [(5, 7, 12, 0, 0, 0.0, True), (1, 0, 50, 3, 2, 0.5, True), (0, 0, 0, 0, 0, 0.0, False)]
 
 
-def attach_brute(rows, gap=1800_000):
-    return {r: n for r, n in U._attach(sorted(rows, key=lambda x: (x[2] is None, x[2] or 0, x[0])), gap)}
+def attach_by_search(requests, gap):
+    """The rule as stated: look at every session for each request."""
+    sessions, out = [], []
+    for sig, ts in requests:
+        fits = [s for s in sessions if s["sig"][: min(len(sig), len(s["sig"]))] == sig[: len(s["sig"])]]
+        depth = max((min(len(sig), len(s["sig"])) for s in fits), default=0)
+        fits = [s for s in fits if min(len(sig), len(s["sig"])) == depth]
+        best = max(fits, key=lambda s: (s["ts"] is not None, s["ts"] or 0, -s["no"]), default=None)
+        if best and len(sig) <= len(best["sig"]) and ts is not None and best["ts"] is not None and abs(ts - best["ts"]) > gap:
+            best = None
+        if best is None:
+            best = {"no": len(sessions), "sig": sig, "ts": None}
+            sessions.append(best)
+        if len(sig) > len(best["sig"]):
+            best["sig"] = sig
+        best["ts"] = ts if ts is not None else best["ts"]
+        out.append(best["no"])
+    return out
+
+
+@settings(max_examples=300, deadline=None)
+@given(st.lists(st.tuples(st.lists(st.integers(0, 1), min_size=1, max_size=5), st.one_of(st.none(), st.integers(0, 40))), max_size=30))
+def test_attacher_equals_search(requests):
+    requests = sorted(requests, key=lambda r: (r[1] is None, r[1] or 0))
+    a = U.Attacher(5)
+    assert [a.add(s, t) for s, t in requests] == attach_by_search(requests, 5)
 
 
 def test_attach_sessions(spark):

@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterable
+import heapq
+from collections.abc import Iterator
 
-import pandas as pd
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -150,51 +151,92 @@ def message_signatures(messages: Column) -> Column:
     return F.transform(messages, lambda m: F.xxhash64(M.role(m), F.substring(X.normalise(F.coalesce(m["content"], F.lit(""))), 1, 2000)))
 
 
-def _attach(requests: Iterable[tuple], gap_ms: int) -> list[tuple]:
-    sessions: list[dict] = []
-    out = []
-    for record, sig, ts in requests:
-        best, depth = None, -1
-        for s in sessions:
-            n = min(len(sig), len(s["sig"]))
-            if sig[:n] != s["sig"][:n]:
-                continue
-            later = best is not None and s["ts"] is not None and (best["ts"] is None or s["ts"] > best["ts"])
-            if n > depth or (n == depth and later):
-                best, depth = s, n
-        if best is not None and len(sig) <= len(best["sig"]) and ts is not None and best["ts"] is not None and abs(ts - best["ts"]) > gap_ms:
+class Attacher:
+    """Sequential session attachment; each request costs about its own length, however many sessions there are.
+
+    ``extends`` names for every known prefix the session heard of last, ``whole`` for every complete list
+    the sessions that consist of just that list; sessions only grow, so neither needs a search."""
+
+    MASK = (1 << 64) - 1
+
+    def __init__(self, gap_ms: int):
+        self.gap, self.n = gap_ms, 0
+        self.extends: dict[int, int] = {}
+        self.whole: dict[int, list[tuple[int, int]]] = {}
+        self.keys: list[list[int]] = []
+        self.last: list[int | None] = []
+
+    def prefixes(self, sig: list[int]) -> list[int]:
+        out, h = [], 14695981039346656037
+        for x in sig:
+            h = ((h ^ (x & self.MASK)) * 1099511628211 + 0x9E3779B97F4A7C15) & self.MASK
+            out.append(h)
+        return out
+
+    def _best_whole(self, key: int) -> int | None:
+        heap = self.whole.get(key)
+        while heap:
+            ts, no = heap[0]
+            if self.keys[no][-1] == key and -ts == (self.last[no] if self.last[no] is not None else -1):
+                return no
+            heapq.heappop(heap)
+        return None
+
+    def _note(self, no: int) -> None:
+        at = self.last[no]
+        for p in self.keys[no]:
+            other = self.extends.get(p)
+            if other is None or (at is not None and (self.last[other] is None or at > self.last[other] or (at == self.last[other] and no < other))):
+                self.extends[p] = no
+        heapq.heappush(self.whole.setdefault(self.keys[no][-1], []), (-(at if at is not None else -1), no))
+
+    def add(self, sig: list[int], ts: int | None) -> int:
+        """The number of the session that the request (a non-empty list of signatures) belongs to."""
+        keys = self.prefixes(sig)
+        best = self.extends.get(keys[-1])
+        if best is None:
+            best = next((no for k in reversed(keys[:-1]) if (no := self._best_whole(k)) is not None), None)
+        if best is not None and len(keys) <= len(self.keys[best]) and ts is not None and self.last[best] is not None and abs(ts - self.last[best]) > self.gap:
             best = None
         if best is None:
-            best = {"no": len(sessions), "sig": sig, "ts": None}
-            sessions.append(best)
-        elif len(sig) > len(best["sig"]):
-            best["sig"] = sig
-        if ts is not None:
-            best["ts"] = ts
-        out.append((record, best["no"]))
-    return out
+            best, self.n = self.n, self.n + 1
+            self.keys.append(keys)
+            self.last.append(ts)
+        else:
+            if len(keys) > len(self.keys[best]):
+                self.keys[best] = keys
+            if ts is not None:
+                self.last[best] = ts
+        self._note(best)
+        return best
 
 
 def attach_sessions(requests: DataFrame, gap_minutes: int = GAP_MINUTES) -> DataFrame:
     """(record_id, session_key) for requests (record_id, ts, messages) (W-7, J-17, A-24).
 
     In the order of ts (nulls last) a request joins the session that shares the longest message prefix,
-    one list being a prefix of the other; a request no longer than its session starts a new one after the
-    gap.  The fold is sequential by nature; it runs apart for each opening (all messages up to the first
-    user's), so a system prompt that all sessions share makes no hot group.  A request without a user
-    message only meets its like.  Empty requests get no session."""
+    one list being a prefix of the other, of equal ones the one heard of last; a request no longer than its
+    session starts a new one after the gap.  The fold is sequential by nature; it runs apart for each
+    opening (all messages up to the first user's), so a system prompt that all sessions share makes no hot
+    group, and streams through sorted Arrow batches, so a hot opening is never gathered.  A request without
+    a user message only meets its like.  Empty requests get no session."""
     opening = F.greatest(F.array_position(F.transform("messages", lambda m: M.role(m)), F.lit("user")), F.lit(0))
     rows = requests.select("record_id", F.unix_millis("ts").alias("ts"), message_signatures(F.col("messages")).alias("sig"), opening.alias("opening")).where("size(sig) > 0")
-    rows = rows.withColumn("first", F.xxhash64(F.when(F.col("opening") > 0, F.slice("sig", F.lit(1), F.col("opening").cast("int"))).otherwise(F.col("sig")))).drop("opening")
+    rows = rows.select(F.xxhash64(F.when(F.col("opening") > 0, F.slice("sig", F.lit(1), F.col("opening").cast("int"))).otherwise(F.col("sig"))).alias("first"), "record_id", "ts", "sig")
+    ordered = rows.repartition("first").sortWithinPartitions("first", F.col("ts").asc_nulls_last(), "record_id")
     gap = gap_minutes * 60_000
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        part = part.sort_values(["ts", "record_id"], na_position="last")
-        made = _attach(((r.record_id, list(r.sig), None if pd.isna(r.ts) else r.ts) for r in part.itertuples()), gap)
-        first = int(part["first"].iloc[0])
-        return pd.DataFrame([(r, f"{first & 0xFFFFFFFFFFFFFFFF:016x}-{n}") for r, n in made], columns=["record_id", "session_key"])
-
-    return rows.groupBy("first").applyInPandas(fold, "record_id bigint, session_key string")
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        now, attacher = None, None
+        for batch in batches:
+            out = []
+            for first, ts, sig in zip(batch.column(0).to_pylist(), batch.column(2).to_pylist(), batch.column(3).to_pylist()):
+                if attacher is None or first != now:
+                    now, attacher = first, Attacher(gap)
+                out.append(f"{first & 0xFFFFFFFFFFFFFFFF:016x}-{attacher.add(sig, ts)}")
+            yield pa.RecordBatch.from_arrays([batch.column(1), pa.array(out, pa.string())], names=["record_id", "session_key"])
+
+    return ordered.mapInArrow(run, "record_id bigint, session_key string")
 
 
 def harvested_titles(records: DataFrame) -> DataFrame:
