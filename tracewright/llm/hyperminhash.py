@@ -10,38 +10,14 @@ from __future__ import annotations
 
 import numpy as np
 
-from tracewright.llm.textkit import mix64
+from tracewright.functions.runs import WordHasher, mix64, rolling  # noqa: F401
 
 MANTISSA = 10
 
 
-class WordHasher:
-    """64-bit hashes of words; keeps those it has met, up to a bound."""
-
-    def __init__(self, most: int = 500_000):
-        self.known: dict[str, int] = {}
-        self.most = most
-
-    def __call__(self, words: list[str]) -> np.ndarray:
-        import xxhash
-
-        known = self.known
-        if len(known) > self.most:
-            known.clear()
-        for w in set(words).difference(known):
-            known[w] = xxhash.xxh64_intdigest(w.encode("utf-8", "surrogatepass"))
-        return np.fromiter(map(known.__getitem__, words), np.uint64, len(words))
-
-
 def runs(word_hashes: np.ndarray, n: int) -> np.ndarray:
     """Distinct 64-bit hashes of all runs of n consecutive words, sorted."""
-    if len(word_hashes) < n:
-        return np.empty(0, dtype=np.uint64)
-    m = len(word_hashes) - n + 1
-    h = np.zeros(m, dtype=np.uint64)
-    for k in range(n):
-        h = mix64(h * np.uint64(0x9E3779B97F4A7C15) + word_hashes[k : k + m] + np.uint64(k + 1))
-    return np.unique(h)
+    return np.unique(rolling(word_hashes, n))
 
 
 def registers(elements: np.ndarray, k: int) -> np.ndarray:

@@ -23,7 +23,8 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.llm.textkit import mix64, plain_words
+from tracewright.functions.runs import mix64
+from tracewright.llm.textkit import plain_words
 from tracewright.session import bounded_collect, durable, ensure_small, table
 
 RUN = 13

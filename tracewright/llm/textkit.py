@@ -80,16 +80,3 @@ def language(text: str | None, least: float = 2.0) -> str | None:
     if ranked[0][1] >= least and ranked[0][1] > 1.2 * ranked[1][1]:
         return ranked[0][0]
     return None
-
-
-def mix64(values):
-    """The splitmix64 finaliser on a uint64 array."""
-    import numpy as np
-
-    z = values.astype(np.uint64, copy=True)
-    z ^= z >> np.uint64(30)
-    z *= np.uint64(0xBF58476D1CE4E5B9)
-    z ^= z >> np.uint64(27)
-    z *= np.uint64(0x94D049BB133111EB)
-    z ^= z >> np.uint64(31)
-    return z
