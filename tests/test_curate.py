@@ -115,3 +115,15 @@ def test_recipes_run(sessions, spark):
     assert recipe.library(df).count() == 4 and recipe.command(df).count() == 4
     raw = recipe.raw(df).collect()
     assert len(raw) == 12 and {r._split for r in raw} == {"train", "eval"}
+
+
+def test_small_selectors(spark):
+    df = spark.createDataFrame([(k, s) for k, s in enumerate(["a", "b", "c", "b", None])], "id bigint, source string")
+    assert sorted(r.id for r in C.allowed_sources(df, "source", " a, b ,").collect()) == [0, 1, 3] and C.allowed_sources(df, "source", "").count() == 5
+    assert [r.id for r in C.by_source_rank(df, "source", ["b", "a"], "id").collect()][:3] == [1, 3, 0]
+    places = list(range(5))
+    random.Random(0).shuffle(places)
+    assert {r.id for r in C.shuffled_split(df, "id", 2).where("_split = 'eval'").collect()} == set(places[:2])
+    with pytest.raises(ValueError, match="hash_group_split"):
+        C.shuffled_split(df, "id", 2, most=3)
+    assert sorted(r._split for r in C.resplit(df.where("id < 2"), df.where("id = 2").drop("source")).collect()) == ["eval", "train", "train"]

@@ -121,3 +121,9 @@ def test_sql_functions(spark):
     assert spark.sql("SELECT is_valid_json('{} x') AS v").first().v is False
     rows = spark.sql("""SELECT * FROM trace_steps('[{"role":"user","content":"hi"},{"role":"assistant","tool_calls":[{"function":{"name":"read","arguments":"{}"}}]}]')""").collect()
     assert [(r.kind, r.name) for r in rows] == [("text", None), ("tool", "read")]
+
+
+@pytest.mark.parametrize(("text", "non_answer", "ephemeral"), [("Could you clarify the path?", True, False), ("I don't see it", True, False), ("/tmp/x", False, True), ("/home/a-replay-b", False, True), ("fine", False, False), (None, False, False)])
+def test_non_answers(spark, text, non_answer, ephemeral):
+    assert one(spark, X.is_non_answer(F.col("t")), t=text) is non_answer and one(spark, X.is_ephemeral(F.col("t")), t=text) is ephemeral
+    assert one(spark, X.enough_entities(F.col("t")), t=text) is False

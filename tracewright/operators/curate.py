@@ -6,6 +6,7 @@ dedupe changes session keys, so the order is part of the result.
 
 from __future__ import annotations
 
+import random
 from collections.abc import Iterator
 
 import numpy as np
@@ -252,6 +253,40 @@ def source_totals(rows: DataFrame, source: str, tokens: str) -> DataFrame:
     return rows.groupBy(source).agg(F.count(F.lit(1)).alias("n"), F.sum(F.coalesce(tokens, F.lit(0))).alias("tokens"))
 
 
+def allowed_sources(rows: DataFrame, source: str, wanted: str) -> DataFrame:
+    """Rows of the comma-listed sources (F-6); an empty list allows all."""
+    names = [w.strip() for w in wanted.split(",") if w.strip()]
+    return rows.where(F.col(source).isin(names)) if names else rows
+
+
+def by_source_rank(rows: DataFrame, source: str, ranked: list[str], tie: str) -> DataFrame:
+    """Rows in the order of a ranked source list, unlisted sources last (O-12)."""
+    place = F.lit(len(ranked))
+    for k, name in reversed(list(enumerate(ranked))):
+        place = F.when(F.col(source) == name, k).otherwise(place)
+    return rows.orderBy(place, F.col(source), F.col(tie))
+
+
+def shuffled_split(rows: DataFrame, order: str, n_eval: int, seed: int = 0, most: int = 1_000_000) -> DataFrame:
+    """rows with _split as a seeded Mersenne-Twister shuffle of their places gives it (O-4).
+
+    Exact parity needs the sequential generator, so only the row count goes to the driver and at most
+    ``most`` rows are taken; larger data uses hash_group_split on the key."""
+    n = rows.count()
+    if n > most:
+        raise ValueError(f"{n} rows: use hash_group_split")
+    places = list(range(n))
+    random.Random(seed).shuffle(places)
+    held = rows.sparkSession.createDataFrame([(p, True) for p in places[:n_eval]], "__p bigint, __e boolean")
+    placed = rows.withColumn("__p", F.row_number().over(Window.orderBy(order)).cast("bigint") - 1)
+    return placed.join(F.broadcast(held), "__p", "left").withColumn("_split", F.when(F.col("__e"), "eval").otherwise("train")).drop("__p", "__e")
+
+
+def resplit(train: DataFrame, held_out: DataFrame) -> DataFrame:
+    """Both sets as one, tagged by where they came from (U-2)."""
+    return train.withColumn("_split", F.lit("train")).unionByName(held_out.withColumn("_split", F.lit("eval")), allowMissingColumns=True)
+
+
 def union_sources(*frames: DataFrame) -> DataFrame:
     """Rows of all frames by column name, missing columns null (U-1, U-7)."""
     out = frames[0]
