@@ -99,13 +99,20 @@ def stderr_verdicts(s, d):
     return _problems(s, d).where("stderr is not null").select("run_id", "id", E.passed_by_text(F.col("stderr")).alias("ok"))
 
 
-@query("failure_messages", None)
+_LINES = _PROBLEMS + """, l AS (SELECT run_id::VARCHAR || '/' || id AS key, unnest(ls) AS raw, generate_subscripts(ls, 1) AS k FROM (SELECT run_id, id, regexp_split_to_array(stderr, '\\r?\\n') AS ls FROM r WHERE stderr IS NOT NULL)),
+f AS (SELECT key, k, CASE WHEN regexp_matches(trim(raw), '^FAILED\\s+\\S+::(\\w+)\\s+-\\s+(.+)$') THEN regexp_extract(trim(raw), '^FAILED\\s+\\S+::(\\w+)\\s+-\\s+(.+)$', 2) WHEN regexp_matches(trim(raw), '^E\\s+AssertionError:\\s+(.+)$') THEN regexp_extract(trim(raw), '^E\\s+AssertionError:\\s+(.+)$', 1) END AS m FROM l),
+c AS (SELECT key, k, CASE WHEN length(x) > 180 THEN x[1:177] || '...' ELSE x END AS message FROM (SELECT key, k, regexp_replace(trim(m), '^AssertionError: ', '') AS x FROM f WHERE m IS NOT NULL)),
+u AS (SELECT key, message, min(k) AS k FROM c GROUP BY 1, 2)"""
+
+
+@query("failure_messages", _LINES + " SELECT key, row_number() OVER (PARTITION BY key ORDER BY k) AS n, message FROM u")
 def failure_messages(s, d):
     rows = _problems(s, d).where("stderr is not null").select(F.concat_ws("/", F.col("run_id").cast("string"), "id").alias("key"), "stderr")
     return E.failures(rows, "key", "stderr").select("key", F.col("n").cast("bigint").alias("n"), "message")
 
 
-@query("verification_summaries", None)
+@query("verification_summaries", _LINES + """, o AS (SELECT run_id::VARCHAR || '/' || id AS key, passed FROM r WHERE stderr IS NOT NULL), q AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY k) AS n, message FROM u), g AS (SELECT key, count(*)::INT AS c, arg_min(message, n) AS first FROM q GROUP BY 1)
+SELECT key, passed, CASE WHEN passed THEN 0 ELSE coalesce(c, 0) END::INT AS failure_count, CASE WHEN passed THEN NULL WHEN c = 1 THEN first WHEN c > 1 THEN first || ' (+' || (c - 1) || CASE WHEN c > 2 THEN ' more failing checks)' ELSE ' more failing check)' END ELSE 'Verification failed.' END AS headline FROM o LEFT JOIN g USING (key)""")
 def verification_summaries(s, d):
     rows = _problems(s, d).where("stderr is not null").select(F.concat_ws("/", F.col("run_id").cast("string"), "id").alias("key"), "stderr", "passed")
     return E.summarise_verification(rows, "key", "stderr")

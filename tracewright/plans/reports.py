@@ -65,7 +65,7 @@ def session_page(s, d):
     return U.session_page(_orders_as_sessions(s, d), search=" URGENT ", sort="cost", limit=25, offset=50).select("id", "cost")
 
 
-@query("harness_prompts", None)
+@query("harness_prompts", """WITH p AS (SELECT record_id, list_filter(request.messages, lambda m: lower(trim(m.role)) = 'system')[1].content AS t FROM proxy_records), r AS (SELECT *, CASE WHEN contains(lower(t), 'title') THEN 'title' WHEN contains(lower(t), 'compact') OR contains(lower(t), 'summar') THEN 'compaction' WHEN contains(lower(t), 'explore') THEN 'explore' WHEN contains(lower(t), 'plan') THEN 'plan' ELSE 'build' END AS role FROM p WHERE t IS NOT NULL) SELECT role, md5(arg_max(t, (length(t), -record_id))) AS digest, count(*) AS n FROM r GROUP BY 1""")
 def harness_prompts(s, d):
     return harness_profile(table(s, d, "proxy_records"))[0].select("role", F.md5("prompt").alias("digest"), "n")
 
@@ -80,12 +80,13 @@ def working_folders(s, d):
     return table(s, d, "sft_dataset").select(M.chat_settings(F.col("messages")).alias("c")).groupBy(F.col("c.working_dir").alias("folder")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("templated_prompts", None)
+@query("templated_prompts", """WITH p AS (SELECT list_filter(messages, lambda m: m.role = 'system')[1].content AS t FROM sft_dataset) SELECT md5(regexp_replace(regexp_replace(regexp_replace(t, '\\d{4}-\\d{2}-\\d{2}', '<date>', 'g'), '(?:/[\\w.-]+){2,}', '<path>', 'g'), '\\b\\d+\\b', '<n>', 'g')) AS template, count(*) AS n FROM p GROUP BY 1""")
 def templated_prompts(s, d):
     return table(s, d, "sft_dataset").groupBy(F.md5(X.templatise(M.nth_text(F.col("messages"), "system", 1))).alias("template")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("used_tool_names", None)
+@query("used_tool_names", """WITH x AS (SELECT sample_id, list_transform(json_extract(tools, '$[*].name'), lambda v: v->>'$') AS names, list_transform(flatten(list_transform(messages, lambda m: coalesce(m.tool_calls, []))), lambda c: c."function".name) AS used FROM sft_dataset WHERE tools IS NOT NULL AND messages IS NOT NULL),
+y AS (SELECT sample_id, names, list_intersect(names, used) AS hit FROM x) SELECT sample_id, coalesce(array_to_string(list_sort(CASE WHEN len(hit) > 0 THEN hit ELSE names END), ','), '') AS names FROM y""")
 def used_tool_names(s, d):
     t = table(s, d, "sft_dataset").where("tools is not null and messages is not null")
     return t.select("sample_id", F.array_join(F.array_sort(M.used_tools(F.col("tools"), F.col("messages"))), ",").alias("names"))

@@ -22,6 +22,10 @@ def _rounded(df):
     return df.select("user_id", "event_id", F.round("value", 4).alias("value"))
 
 
+def _three(df):
+    return df.select("user_id", "event_id", F.round("value", 3).alias("value"))
+
+
 @query("rolling_mean_3", _BASE + f" SELECT user_id, event_id, round(avg(value) OVER {_W} ROWS 2 PRECEDING), 4) AS value FROM b")
 def rolling_mean_3(s, d):
     return _rounded(S.rolling(_base(s, d), "user_id", "event_id", "value", 3))
@@ -73,9 +77,9 @@ def one_hot(s, d):
     return table(s, d, "events").select("event_id", F.concat(F.lit("["), F.array_join(F.transform(hot, lambda x: x.cast("string")), ", "), F.lit("]")).alias("hot"))
 
 
-@query("stage_pipeline", None)
+@query("stage_pipeline", _BASE + f", c AS (SELECT user_id, event_id, least(greatest(value, 0), 80) AS v FROM b), r AS (SELECT user_id, event_id, avg(v) OVER {_W} ROWS 4 PRECEDING) AS v FROM c), d AS (SELECT user_id, event_id, v - lag(v) OVER {_W}) AS v, row_number() OVER {_W}) AS n FROM r) SELECT user_id, event_id, round(v, 3) AS value FROM d WHERE n > 1")
 def stage_pipeline(s, d):
-    return _rounded(S.pipeline(_base(s, d), [{"stage": "clip", "low": 0.0, "high": 80.0}, {"stage": "smooth", "width": 5}, {"stage": "diff"}], "user_id", "event_id", "value"))
+    return _three(S.pipeline(_base(s, d), [{"stage": "clip", "low": 0.0, "high": 80.0}, {"stage": "smooth", "width": 5}, {"stage": "diff"}], "user_id", "event_id", "value"))
 
 
 @query("token_bucket", None)

@@ -42,13 +42,13 @@ def role_counts(s, d):
     return M.exploded(_sft(s, d), "sample_id").groupBy("role").agg(F.count(F.lit(1)).alias("n_messages"), F.count_distinct("sample_id").alias("n_sessions"))
 
 
-@query(
-    "turn_pairs",
-    """WITH x AS (SELECT sample_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS pos FROM sft_dataset),
-    t AS (SELECT sample_id, pos, m.role AS role, m.content AS content, sum(CASE WHEN m.role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY sample_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS turn_no FROM x)
-    SELECT sample_id, turn_no::BIGINT AS turn_no, arg_max(content, pos) FILTER (role = 'user' AND content IS NOT NULL) AS prompt, arg_max(trim(content, ' '), pos) FILTER (role = 'assistant' AND trim(content, ' ') <> '') AS answer
-    FROM t WHERE turn_no > 0 GROUP BY 1, 2 HAVING answer IS NOT NULL""",
-)
+_TURNS = """WITH x AS (SELECT sample_id, unnest(messages) AS m, generate_subscripts(messages, 1) AS pos FROM sft_dataset),
+    t AS (SELECT sample_id, pos, m.role AS role, m.content AS content, sum(CASE WHEN m.role = 'user' THEN 1 ELSE 0 END) OVER (PARTITION BY sample_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS turn_no FROM x),
+    p AS (SELECT sample_id, turn_no::BIGINT AS turn_no, arg_max(content, pos) FILTER (role = 'user' AND content IS NOT NULL) AS prompt, arg_max(trim(content, ' '), pos) FILTER (role = 'assistant' AND trim(content, ' ') <> '') AS answer
+    FROM t WHERE turn_no > 0 GROUP BY 1, 2 HAVING answer IS NOT NULL)"""
+
+
+@query("turn_pairs", _TURNS + " SELECT * FROM p")
 def turn_pairs(s, d):
     return M.turn_pairs(_sft(s, d), "sample_id")
 
@@ -131,7 +131,7 @@ def drop_reason_cascade(s, d):
     return r.groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
-@query("min_answer_filter", None)
+@query("min_answer_filter", _TURNS + " SELECT sample_id, turn_no FROM p WHERE length(answer) >= 200")
 def min_answer_filter(s, d):
     return M.turn_pairs(_sft(s, d), "sample_id", 200).select("sample_id", "turn_no")
 
@@ -214,6 +214,13 @@ def intent_flags(s, d):
     return table(s, d, "tasks").select("id", plain.alias("plain_mutation"))
 
 
-@query("task_intents", None)
+_LEAD, _MUTATE, _QUESTION = (p.replace("'", "''") for p in (X.LEAD, X.MUTATE, X.QUESTION))
+
+
+@query(
+    "task_intents",
+    f"""SELECT id, regexp_matches(ltrim(prompt), '(?i)^{_LEAD}{_MUTATE}') AS mutation, regexp_matches(ltrim(prompt), '(?i)^{_LEAD}{_QUESTION}') AND NOT regexp_matches(ltrim(prompt), '(?i)^{_LEAD}{_MUTATE}') AS question,
+    len(list_filter(regexp_split_to_array(prompt, '[.!?\\n]+'), lambda x: regexp_matches(ltrim(x), '(?i)^{_LEAD}{_MUTATE}'))) > 0 AS mutation_inside FROM tasks""",
+)
 def task_intents(s, d):
     return table(s, d, "tasks").select("id", X.is_mutation(F.col("prompt")).alias("mutation"), X.is_question(F.col("prompt")).alias("question"), X.has_mutation_sentence(F.col("prompt")).alias("mutation_inside"))
