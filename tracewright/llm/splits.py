@@ -9,6 +9,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 
+import numpy as np
 import pandas as pd
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -21,6 +22,7 @@ from tracewright.session import bounded_collect, clean_label, durable, ensure_sm
 TASK_ID = r"(?:^|[^0-9a-z])([a-z]{2})[^0-9a-z]*([0-9a-f]{12})(?:[^0-9a-z]|$)"
 MAX_TASKS = 200_000
 BINS = 4096
+ALL_BINS = 16_384
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 
 
@@ -102,57 +104,50 @@ def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return rows.join(kin, "component").select("sample_id", "task_id").join(links, ["sample_id", "task_id"], "left_semi").distinct()
 
 
-def _place(groups: pd.DataFrame) -> pd.DataFrame:
-    """Places one stratum's large components, then its bins of small ones, by cumulative weight.
+def _place(parts: pd.DataFrame) -> pd.DataFrame:
+    """Places components, and hash bins of small ones, by the weight each split has gathered so far.
 
-    Large components go one by one, the heaviest first, to the split that lacks most of its share; the
-    bins, in the order of their hashes, then fill up what each split still lacks."""
-    total = groups["weight"].sum()
-    lack = {name: share * total for name, share in SPLITS}
+    parts: item, bin, component, source, n, a row for each source of an item.  Items go one by one, the
+    heaviest first, to the split that relatively lacks most of the rows of the item's own sources; so the
+    proportions hold within sources as well, as far as whole components allow."""
+    share = np.array([s for _, s in SPLITS])
+    sources = {s: k for k, s in enumerate(sorted(parts["source"].unique()))}
+    total = np.zeros(len(sources))
+    np.add.at(total, parts["source"].map(sources).to_numpy(), parts["n"].to_numpy())
+    want = np.outer(share, total)
+    have = np.zeros_like(want)
+    items = [(-g["n"].sum(), name, g["source"].map(sources).to_numpy(), g["n"].to_numpy(), g["bin"].iloc[0], g["component"].iloc[0]) for name, g in parts.groupby("item", sort=True)]
     out = []
-    large = groups[groups["bin"] < 0].sort_values(["weight", "component"], ascending=[False, True])
-    for r in large.itertuples():
-        name = max(lack, key=lambda k: (lack[k], k))
-        lack[name] -= r.weight
-        out.append((r.stratum, r.component, -1, name))
-    small = groups[groups["bin"] >= 0].sort_values("bin")
-    rest = small["weight"].sum()
-    room = {k: max(0.0, v) for k, v in lack.items()}
-    scale = rest / sum(room.values()) if sum(room.values()) > 0 else 0.0
-    edges, at = [], 0.0
-    for name, _ in SPLITS:
-        at += room[name] * scale
-        edges.append((at, name))
-    before = 0.0
-    for r in small.itertuples():
-        middle = before + r.weight / 2
-        out.append((r.stratum, None, r.bin, next((n for e, n in edges if middle <= e), edges[0][1])))
-        before += r.weight
-    return pd.DataFrame(out, columns=["stratum", "component", "bin", "split"])
+    for _, name, at, n, number, component in sorted(items, key=lambda x: x[:2]):
+        lack = (want[:, at] - have[:, at]) / np.maximum(want[:, at], 1e-9)
+        pick = int(np.argmax((lack * n).sum(axis=1)))
+        have[pick, at] += n
+        out.append((name, number, component, SPLITS[pick][0]))
+    return pd.DataFrame(out, columns=["item", "bin", "component", "split"])
 
 
 def split_assignments(sessions: DataFrame, tasks: DataFrame, seed: int = 11) -> DataFrame:
     """sample_id, source, component, split for every row.
 
-    A component belongs to the stratum of the source that most of its rows name.  Components of a
-    thousandth of their stratum or more (at most a thousand) are placed singly, smaller ones through
-    hash bins, so what one task places is bounded whatever the number of components."""
+    A component of a thousandth or more of the source that most of its rows name is placed by itself;
+    smaller ones go by hash into bins of their source.  So a bounded table (at most a thousand components
+    and ``BINS`` bins a source, ``ALL_BINS`` bins in all) decides, whatever the number of components."""
     _, labels = related_rows(sessions, tasks)
     mine = labels.where("vertex like 'r:%'").select(F.expr("cast(substr(vertex, 3) as bigint)").alias("sample_id"), "component")
     rows = sessions.select("sample_id", clean_label(F.col("source")).alias("source")).join(mine, "sample_id", "left").select("sample_id", "source", F.coalesce("component", F.concat(F.lit("r:"), F.col("sample_id").cast("string"))).alias("component"))
     rows = durable(rows)
-    by_source = rows.groupBy("component", "source").agg(F.count(F.lit(1)).alias("n"))
+    by_source = durable(rows.groupBy("component", "source").agg(F.count(F.lit(1)).alias("n")))
     whole = by_source.groupBy("component").agg(F.sum("n").alias("weight"), F.max_by("source", F.struct("n", "source")).alias("stratum"))
     totals = whole.groupBy("stratum").agg(F.sum("weight").alias("total"))
-    sized = whole.join(F.broadcast(totals), "stratum")  # one row for each source name
-    bins = F.pmod(F.xxhash64("component", F.lit(seed)), F.lit(BINS)).cast("int")
-    sized = durable(sized.withColumn("bin", F.when(F.col("weight") * 1000 >= F.col("total"), F.lit(-1)).otherwise(bins)))
-    grouped = sized.groupBy("stratum", "bin", F.when(F.col("bin") < 0, F.col("component")).alias("component")).agg(F.sum("weight").alias("weight"))
-    placed = grouped.groupBy("stratum").applyInPandas(_place, "stratum string, component string, bin int, split string")
-    placed = durable(placed)
-    large = sized.where("bin < 0").join(placed.where("bin < 0").select("component", "split"), "component").select("component", "split")
-    small = sized.where("bin >= 0").join(placed.where("bin >= 0").select("stratum", "bin", "split"), ["stratum", "bin"]).select("component", "split")
-    return rows.join(large.unionByName(small), "component").select("sample_id", "source", "component", "split")
+    n_bins = F.greatest(F.lit(8), F.least(F.lit(BINS), F.floor(F.lit(ALL_BINS) / F.greatest(totals.agg(F.count(F.lit(1))).scalar(), F.lit(1))))).cast("int")
+    lot = F.pmod(F.xxhash64("component", F.lit(seed)), n_bins).cast("int")
+    sized = whole.join(F.broadcast(totals), "stratum").withColumn("bin", F.when(F.col("weight") * 1000 >= F.col("total"), F.lit(-1)).otherwise(lot))  # totals: a row for each source
+    item = F.when(F.col("bin") < 0, F.concat(F.lit("c:"), "component")).otherwise(F.concat(F.lit("b:"), F.col("bin").cast("string"), F.lit(":"), "stratum"))
+    sized = durable(sized.select("component", "bin", item.alias("item")))
+    parts = by_source.join(sized, "component").groupBy("item", "bin", F.when(F.col("bin") < 0, F.col("component")).alias("component"), "source").agg(F.sum("n").alias("n"))
+    placed = parts.groupBy(F.lit(0).alias("all")).applyInPandas(lambda part: _place(part.drop(columns="all", errors="ignore")), "item string, bin int, component string, split string")
+    placed = durable(placed.select("item", "split"))
+    return rows.join(sized.join(placed, "item").select("component", "split"), "component").select("sample_id", "source", "component", "split")
 
 
 def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
