@@ -154,6 +154,24 @@ def test_asof_and_interval(spark):
     assert sorted((r.id, r.sid) for r in K.interval_join(left, spans, "at", "s", "e", "by", 3).collect()) == [("a", "s1"), ("a", "s3"), ("b", "s1")]
 
 
+@pytest.mark.parametrize("bucket", [None, 7, 1000])
+def test_asof_in_buckets(spark, bucket):
+    random.seed(9)
+    left = [(random.choice("ab"), random.randrange(100), k) for k in range(80)]
+    right = [(random.choice("ab"), random.randrange(100), random.choice([k, None]), k) for k in range(25)]
+    want = {i: max(((rt, t, v) for b, rt, v, t in right if b == k and rt <= at and v is not None), default=(0, 0, None))[2] for k, at, i in left}
+    got = K.asof_join(spark.createDataFrame(left, "by string, at int, id int"), spark.createDataFrame(right, "by string, rt int, v int, tie int"), "by", "at", "rt", "v", "tie", bucket)
+    assert {r.id: r.v for r in got.collect()} == want
+
+
+def test_rank_over_parts(spark):
+    from tracewright.session import with_rank
+
+    rows = [(v,) for v in random.Random(3).sample(range(5000), 700)]
+    got = sorted((r["rank"], r.v) for r in with_rank(spark.createDataFrame(rows, "v int"), ["v"]).collect())
+    assert got == list(enumerate(sorted(r[0] for r in rows)))
+
+
 def test_turn_trimming(spark):
     long = "x" * 250
     rows = [(1, 1, "how does it work?", long), (1, 2, "fix it", long), (1, 3, "why?", long), (2, 1, "fix it", long), (3, 1, "what is it?", "short"), (4, 1, "what?", "s"), (4, 2, "and why?", long)]

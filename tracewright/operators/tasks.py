@@ -43,15 +43,33 @@ def round_robin(rows: DataFrame, key: str, group: str, n: int, seed: str = "0")
     return r.orderBy("__n", "__g", "__h").limit(n).orderBy("__h").drop("__h", "__g", "__n")
 
 
-def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on: str, value: str, tie: str) -> DataFrame:
+def _micros(df: DataFrame, name: str) -> Column:
+    """A time column as a whole number: micros of timestamps, numbers as they are."""
+    kind = dict(df.dtypes)[name]
+    return F.unix_micros(F.col(name).cast("timestamp")) if kind.startswith("timestamp") else F.col(name).cast("bigint")
+
+
+def asof_join(left: DataFrame, right: DataFrame, by: str, left_on: str, right_on: str, value: str, tie: str, bucket: int | None = None) -> DataFrame:
     """Each left row with the value of the last right row at or before it, null if none (J-11).
 
-    One sort of both sides together; ties on the right go to the larger ``tie``."""
-    a = left.select(*[F.col(c) for c in left.columns], F.col(left_on).alias("__at"), F.lit(1).alias("__side"), F.lit(None).cast(dict(right.dtypes)[value]).alias("__v"), F.lit(None).cast(dict(right.dtypes)[tie]).alias("__tie"))
-    b = right.select(by, F.col(right_on).alias("__at"), F.lit(0).alias("__side"), F.col(value).alias("__v"), F.col(tie).alias("__tie"))
-    both = a.unionByName(b, allowMissingColumns=True)
-    w = Window.partitionBy(by).orderBy("__at", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
-    return both.withColumn(value, F.last("__v", ignorenulls=True).over(w)).where("__side = 1").select(*left.columns, value)
+    One sort of both sides together; ties on the right go to the larger ``tie``, null values are passed
+    over.  With ``bucket`` (micros of timestamps, else units) a key's rows are sorted bucket by bucket, each
+    its own group, and rows before the first match of their bucket take the last one of an earlier bucket;
+    so a key that holds a third of all rows spreads over tasks."""
+    kind_v, kind_t = dict(right.dtypes)[value], dict(right.dtypes)[tie]
+    a = left.select(*[F.col(c) for c in left.columns], _micros(left, left_on).alias("__at"), F.lit(1).alias("__side"), F.lit(None).cast(kind_v).alias("__v"), F.lit(None).cast(kind_t).alias("__tie"))
+    b = right.where(F.col(value).isNotNull()).select(by, _micros(right, right_on).alias("__at"), F.lit(0).alias("__side"), F.col(value).alias("__v"), F.col(tie).alias("__tie"))
+    both = a.unionByName(b, allowMissingColumns=True).withColumn("__b", F.floor(F.col("__at") / bucket) if bucket else F.lit(0).cast("bigint"))
+    w = Window.partitionBy(by, "__b").orderBy("__at", "__side", "__tie").rowsBetween(Window.unboundedPreceding, 0)
+    near = both.withColumn(value, F.last("__v", ignorenulls=True).over(w)).where("__side = 1")
+    if bucket is None:
+        return near.select(*left.columns, value)
+    ends = b.groupBy(by, F.floor(F.col("__at") / bucket).alias("__b")).agg(F.max_by("__v", F.struct("__at", "__tie")).alias("__end"))
+    wanted = near.where(F.col(value).isNull()).select(by, "__b").distinct()
+    marks = wanted.join(ends, [by, "__b"], "full_outer")
+    earlier = Window.partitionBy(by).orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)  # a row for each bucket
+    carried = marks.withColumn("__carry", F.last("__end", ignorenulls=True).over(earlier)).select(by, "__b", "__carry")
+    return near.join(carried, [by, "__b"], "left").withColumn(value, F.coalesce(value, "__carry")).select(*left.columns, value)
 
 
 def interval_join(points: DataFrame, spans: DataFrame, at: str, start: str, end: str, by: str, width: int) -> DataFrame:

@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from tracewright.functions import text as X
 from tracewright.operators import messages as M
 from tracewright.operators.trace import steps
+from tracewright.session import with_rank
 
 FIGURES = ("prompt", "completion", "total", "cached", "reasoning")
 GAP_MINUTES = 30
@@ -69,7 +70,9 @@ def timeline(events: DataFrame, ts: str, sums: dict[str, str], bins: int = 48, o
     rows = rows.withColumn("__lo", rows.agg(F.min("__t")).scalar()).withColumn("__hi", rows.agg(F.max("__t")).scalar()).withColumn("__all", rows.agg(F.count(F.lit(1))).scalar())
     by_time = F.least(F.lit(bins - 1), F.floor((F.col("__t") - F.col("__lo")) / (F.col("__hi") - F.col("__lo")) * bins))
     timed = (F.col("__hi") > F.col("__lo")) & F.col("__t").isNotNull()
-    rank = F.row_number().over(Window.orderBy(order)) - 1 if order else F.lit(0)
+    if order:
+        rows = with_rank(rows, [order], "__rank")
+    rank = F.col("__rank") if order else F.lit(0)
     by_place = F.least(F.lit(bins - 1), F.floor(rank / F.greatest(F.col("__all"), F.lit(1)) * bins))
     placed = rows.withColumn("bin", F.when(timed, by_time).otherwise(by_place).cast("int"))
     made = placed.groupBy("bin").agg(F.count(F.lit(1)).alias("calls"), *[F.round(F.sum(c), 6).alias(n) for n, c in sums.items()], F.min("__t").alias("t0"))

@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -87,6 +87,17 @@ def ensure_small(nbytes: int, what: str, limit: int = BROADCAST_LIMIT_BYTES) ->
         raise ValueError(f"{what}: {nbytes} bytes exceed the broadcast bound of {limit}")
 
 
+def with_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
+    """The rows with their place (from 0) in a total order, without one task that sees all of them:
+    range-sorted parts are written once, and each part's first place is the size of the parts before it."""
+    parts = df.repartitionByRange(max(2, shuffle_partitions(df.sparkSession)), *order).sortWithinPartitions(*order)
+    placed = durable(parts.withColumn("__part", F.spark_partition_id()).withColumn("__line", F.monotonically_increasing_id()))
+    sizes = placed.groupBy("__part").agg(F.count(F.lit(1)).alias("__n"), F.min("__line").alias("__first"))
+    before = F.coalesce(F.sum("__n").over(Window.orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))  # a row for each part
+    offsets = sizes.select("__part", "__first", before.alias("__before"))
+    return placed.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__line") - F.col("__first") + F.col("__before")).drop("__part", "__line", "__first", "__before")
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
