@@ -73,7 +73,7 @@ def is_refusal(answer: str) -> bool:
 
 
 def _plain(text: str) -> str:
-    return regex.sub(r"[\s\p{P}\p{S}]+", " ", text.casefold()).strip()
+    return " ".join(text.casefold().split())
 
 
 def is_echo(question: str, answer: str, explained: float = 0.6, covered: float = 0.7) -> bool:
