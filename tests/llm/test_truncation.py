@@ -54,3 +54,13 @@ def test_near_copies_show_a_cut_at_a_full_stop(spark):
 
 def test_empty(spark):
     assert T.cut_texts(spark.createDataFrame([], "rec_id bigint, item_no int, kind string, text string")).count() == 0
+
+
+def test_copies_of_a_cut_text_are_no_evidence(spark):
+    cut = "The gateway refuses any cache that the old reader signed and keeps it in the"
+    rows = [(k, 0, "assistant", f"Sentence number {k} of the reader ends here.") for k in range(60)] + [(100 + k, 0, "assistant", cut) for k in range(30)]
+    log = lambda n: "\n".join([f"$ verify part-{n} --quiet", *[f"INFO  step {j}: do_thing done" for j in range(5)]])
+    rows += [(200 + k, 0, "stderr", log(k) + f"\n{k % 9} failed, {k % 7} passed in 3 s.") for k in range(60)]
+    rows += [(300 + k, 0, "stderr", log(7) + "\nINFO  step 6: do_th") for k in range(30)] + [(400 + k, 0, "stderr", "timeout after 900s") for k in range(30)]
+    got = {r.rec_id for r in T.cut_texts(spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")).where("cut_end").collect()}
+    assert got == {*range(100, 130), *range(300, 330)}

@@ -4,7 +4,9 @@ Two kinds of evidence.  Near-copies: texts are banded by min-hashes of their fir
 words; in a bucket the sorted texts meet their neighbours, verified pairs are aligned, and the copy whose
 alignment ends early (or begins late) inside the other's sentence is cut.  Unmatched texts are scored by
 terminality: how often a closing word or line, seen anywhere in texts of its kind, closes a text, and the
-same for openings.  Counts are taken over all texts and stay distributed; they meet the texts by joins.
+same for openings.  Counts are taken over all
+distinct texts (a text counts once, however often it is copied) and stay distributed; they meet the
+texts by joins.
 """
 
 from __future__ import annotations
@@ -40,6 +42,8 @@ SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98E
 LIMIT_LEAST, LIMIT_TIMES, LIMIT_NEAR = 12, 12.0, 10
 #: A closing or opening is typical of logs if so many of the kind's texts have it.
 TYPICAL = 0.025
+#: A pattern or opening that a smaller share of the kind's texts has is no evidence that prose is whole.
+FEW = 0.0005
 
 
 def _mask(token: str, cache: dict[str, str]) -> str:
@@ -83,9 +87,9 @@ class _Counter:
             got[2] += last
 
 
-_FIELDS = "tag tinyint, rec_id bigint, item_no int, kind string, size int, end_state tinyint, end_key bigint, start_state tinyint, start_key bigint, whole_key bigint, head bigint, tail bigint, text_key bigint, n_any bigint, n_first bigint, n_last bigint"
+_FIELDS = "tag tinyint, rec_id bigint, item_no int, kind string, size int, end_state tinyint, end_key bigint, start_state tinyint, start_key bigint, whole_key bigint, head bigint, tail bigint, text_key bigint, line_key bigint, n_any bigint, n_first bigint, n_last bigint"
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
-_TYPES = [pa.int8(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int8(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
+_TYPES = [pa.int8(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int8(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
 
 
 def _sketch(words: list[list[str]]) -> np.ndarray:
@@ -127,7 +131,7 @@ def _features(texts: DataFrame) -> DataFrame:
             v = list(counts.at.values())
             counts.at = {}
             none = [None] * len(keys)
-            cols = [[1] * len(keys), none, none, none, none, none, keys, none, none, none, none, none, none, [x[0] for x in v], [x[1] for x in v], [x[2] for x in v]]
+            cols = [[1] * len(keys), none, none, none, none, none, keys, none, none, none, none, none, none, none, [x[0] for x in v], [x[1] for x in v], [x[2] for x in v]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], names=_NAMES)
 
         for batch in batches:
@@ -146,7 +150,7 @@ def _features(texts: DataFrame) -> DataFrame:
                 last_line = lines[-1]
                 marked = any(bare.endswith(m) for m in MARKS) or bare.startswith("�")
                 if kind in LOG_KINDS:
-                    end_key = start_key = 0
+                    end_key = start_key = line_key = 0
                     n = len(lines)
                     for k, line in enumerate(lines):
                         parts = line.split(None, 1)
@@ -156,8 +160,10 @@ def _features(texts: DataFrame) -> DataFrame:
                         b = _mask(line.rsplit(None, 1)[-1], cache)
                         closing = name("c", kind, a, b)
                         counts.add(closing, 0, int(k == n - 1))
+                        begun = name("f", kind, a)
+                        counts.add(begun)
                         if k == n - 1:
-                            end_key = closing
+                            end_key, line_key = closing, begun
                         second = _mask(parts[1].split(None, 1)[0], cache) if len(parts) > 1 and parts[1] else ""
                         opening = name("o", kind, "P" if a[:2] == "P." else a, "P" if second[:2] == "P." else second)
                         counts.add(opening, int(k == 0), 0)
@@ -167,7 +173,7 @@ def _features(texts: DataFrame) -> DataFrame:
                 else:
                     open_fence = bool(bare.count("```") % 2) and not bare.endswith("```") and (_FENCE_OPEN.search(bare[bare.rindex("```") :]) is not None or not _CLOSED.search(last_line))
                     whole = name("w", kind, _IDENT.sub("X", low)) if len(bare) < 400 else name("l", kind, low)
-                    counts.add(whole)
+                    line_key = 0
                     item_line = bool(_LIST.match(last_line))
                     last = _mask(last_line.rsplit(None, 1)[-1], cache)
                     end_key = name("c", kind, "l" if item_line else "p", last)
@@ -200,7 +206,7 @@ def _features(texts: DataFrame) -> DataFrame:
                         start_state = 2
                     else:
                         start_state = 1
-                out.append([0, rec, item, kind, len(text), end_state, end_key, start_state, start_key, whole, 0, 0, name("t", bare), None, None, None])
+                out.append([0, rec, item, kind, len(text), end_state, end_key, start_state, start_key, whole, 0, 0, name("t", bare), line_key, None, None, None])
             if out:
                 head, tail = _sketch(heads), _sketch(tails)
                 cols = [list(c) for c in zip(*out)]
@@ -275,37 +281,49 @@ def cut_texts(texts: DataFrame) -> DataFrame:
 
     kind names what the text is (user, assistant, tool, stderr); counts are kept by kind.  Null and blank
     texts are in no row; equal texts get equal answers; an empty table gives none."""
+    rows = texts.where("text is not null").select("rec_id", "item_no", "kind", F.xxhash64("kind", "text").alias("copy"), "text")
+    one = durable(rows.groupBy(F.col("copy").alias("rec_id")).agg(F.first("kind").alias("kind"), F.first("text").alias("text"), F.count(F.lit(1)).alias("copies")).withColumn("item_no", F.lit(0)))
+    judged = _judged(one).select(F.col("rec_id").alias("copy"), "cut_start", "cut_end")
+    return rows.drop("text").join(judged, "copy").select("rec_id", "item_no", "kind", "cut_start", "cut_end")
+
+
+def _judged(texts: DataFrame) -> DataFrame:
+    """rec_id, cut_start, cut_end of texts of which each is there once, with the number of its ``copies``."""
     made = durable(_features(texts))
-    features = made.where("tag = 0").select("rec_id", "item_no", "kind", "size", "end_state", "end_key", "start_state", "start_key", "whole_key", "head", "tail", "text_key")
+    features = made.where("tag = 0").select("rec_id", "item_no", "kind", "size", "end_state", "end_key", "start_state", "start_key", "whole_key", "head", "tail", "text_key", "line_key")
     counts = durable(made.where("tag = 1").groupBy(F.col("end_key").alias("key")).agg(F.sum("n_any").alias("n_any"), F.sum("n_first").alias("n_first"), F.sum("n_last").alias("n_last")))
-    distinct = features.select("kind", "end_key", "start_key", "text_key").distinct()
-    kinds = features.groupBy("kind").agg(F.count_distinct("text_key").alias("n_texts"), F.count(F.lit(1)).alias("n_rows"))
+    distinct = features.select("kind", "end_key", "start_key", "whole_key", "text_key").distinct()
+    same = texts.select("rec_id", "copies")
+    kinds = features.join(same, "rec_id").groupBy("kind").agg(F.count_distinct("text_key").alias("n_texts"), F.sum("copies").alias("n_rows"))
     closes = distinct.groupBy(F.col("end_key")).agg(F.count(F.lit(1)).alias("end_texts"))
     opens = distinct.groupBy(F.col("start_key")).agg(F.count(F.lit(1)).alias("start_texts"))
-    same = features.groupBy("text_key").agg(F.count(F.lit(1)).alias("copies"))
+    wholes = distinct.where("whole_key <> 0").groupBy("whole_key").agg(F.count(F.lit(1)).alias("whole_texts"))
     end_counts = counts.select(F.col("key").alias("end_key"), F.col("n_any").alias("end_any"), F.col("n_last").alias("end_last"))
     start_counts = counts.select(F.col("key").alias("start_key"), F.col("n_any").alias("start_any"), F.col("n_first").alias("start_first"))
-    whole_counts = counts.select(F.col("key").alias("whole_key"), F.col("n_any").alias("whole_any"))
-    x = features.drop("head", "tail")
+    line_counts = counts.select(F.col("key").alias("line_key"), F.col("n_any").alias("line_any"))
+    x = features.drop("head", "tail").join(line_counts, "line_key", "left")
     x = x.join(end_counts.join(closes, "end_key"), "end_key", "left").join(start_counts.join(opens, "start_key"), "start_key", "left")
-    x = x.join(whole_counts, "whole_key", "left").join(same, "text_key", "left").join(F.broadcast(kinds), "kind")  # a row for each kind
+    x = x.join(wholes, "whole_key", "left").join(same, "rec_id").join(F.broadcast(kinds), "kind")  # a row for each kind
     x = x.join(_aligned(texts, features), ["rec_id", "item_no"], "left")
     log = F.col("kind").isin(*LOG_KINDS)
     typical = F.greatest(F.lit(2.0), TYPICAL * F.col("n_texts"))
-    stock = F.col("copies") >= F.greatest(F.lit(3.0), TYPICAL * F.col("n_rows"))
     c = lambda name: F.coalesce(F.col(name), F.lit(0))
     inner = c("start_any") - c("start_first")
     seen_inside = inner >= F.greatest(F.lit(2.0), 0.2 * TYPICAL * F.col("n_texts"))
+    stock = F.col("copies") >= F.greatest(F.lit(3.0), TYPICAL * F.col("n_rows"))
+    # Many copies speak for a whole log only if its last line closes logs and lines begun alike mostly end so too.
+    stock_end = stock & (c("end_last") >= 0.5 * c("end_any")) & (c("line_any") < 2 * c("end_any"))
+    few, few_opened = F.greatest(F.lit(3.0), FEW * F.col("n_texts")), F.greatest(F.lit(2.0), FEW * F.col("n_texts"))
     end_log = ~((c("end_texts") >= typical) & (c("end_last") >= 0.5 * c("end_any")))
-    end_prose = F.when(F.col("end_state") == 3, c("whole_any") < 3).otherwise((c("end_any") < 3) | (c("end_last") < 0.2 * c("end_any")))
-    cut_end = F.when(F.col("end_state") == 1, True).when(log & stock, False).when(log, end_log).when(F.col("end_state") == 0, False).otherwise(end_prose) | F.coalesce("early", F.lit(False))
+    end_prose = F.when(F.col("end_state") == 3, c("whole_texts") < few).otherwise((c("end_any") < 3) | (c("end_last") < 0.2 * c("end_any")))
+    cut_end = F.when(F.col("end_state") == 1, True).when(log & stock_end, False).when(log, end_log).when(F.col("end_state") == 0, False).otherwise(end_prose) | F.coalesce("early", F.lit(False))
     start_log = (~seen_inside & ~(c("start_texts") >= typical)) | (seen_inside & (c("start_first") < 0.02 * c("start_any")))
-    start_prose = (F.col("start_state") == 1) & (c("start_first") <= 1)
-    cut_start = F.when(log & stock, False).when(log, start_log).otherwise(start_prose) | (log & F.coalesce("late", F.lit(False)))
-    judged = durable(x.select("rec_id", "item_no", "kind", "size", "text_key", (~log & (F.col("end_state") == 0)).alias("closed"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
+    start_prose = (F.col("start_state") == 1) & (c("start_texts") < few_opened)
+    cut_start = F.when(log & stock & ~seen_inside, False).when(log, start_log).otherwise(start_prose) | (log & F.coalesce("late", F.lit(False)))
+    judged = durable(x.select("rec_id", "kind", "size", "text_key", (~log & (F.col("end_state") == 0)).alias("closed"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
     limits = _limits(judged.withColumn("cut", F.col("cut_start") | F.col("cut_end")))
     full = judged.join(limits, ["kind", "size"], "left")
-    return full.select("rec_id", "item_no", "kind", "cut_start", (F.col("cut_end") | (F.col("closed") & F.coalesce("at_limit", F.lit(False)))).alias("cut_end"))
+    return full.select("rec_id", "cut_start", (F.col("cut_end") | (F.col("closed") & F.coalesce("at_limit", F.lit(False)))).alias("cut_end"))
 
 
 def message_texts(sessions: DataFrame, record: str, roles: tuple = ("user", "assistant", "tool")) -> DataFrame:
