@@ -64,3 +64,26 @@ def test_copies_of_a_cut_text_are_no_evidence(spark):
     rows += [(300 + k, 0, "stderr", log(7) + "\nINFO  step 6: do_th") for k in range(30)] + [(400 + k, 0, "stderr", "timeout after 900s") for k in range(30)]
     got = {r.rec_id for r in T.cut_texts(spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")).where("cut_end").collect()}
     assert got == {*range(100, 130), *range(300, 330)}
+
+
+def test_prefixes_meet_over_partition_borders(spark):
+    words = "the gateway refuses any cache that the old reader signed with part then keeps it queued and never tells anyone".split()
+    more = [f"w{k}x" for k in range(60)]
+    rows = [(k, 0, "assistant", "The " + " ".join(words[1:] + more[:k]) + ".") for k in range(2)] + [(k, 0, "assistant", "The " + " ".join(words[1:] + more[:k])) for k in range(2, 60)]
+    texts = spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")
+    for conf, value in (("spark.sql.adaptive.enabled", "false"), ("spark.sql.shuffle.partitions", "30")):
+        spark.conf.set(conf, value)
+    try:
+        features = T._features(texts).where("tag = 0")
+        got = {r.rec_id for r in T._aligned(texts, features).where("early").collect()}
+    finally:
+        spark.conf.set("spark.sql.adaptive.enabled", "true")
+        spark.conf.set("spark.sql.shuffle.partitions", "4")
+    assert got == set(range(2, 59))
+
+
+def test_a_longer_copy_shows_a_lost_beginning_of_prose(spark):
+    long = "the gateway refuses any cache that bob the old reader signed with part seven and keeps it in the queue for later use by others."
+    rows = [(k, 0, "assistant", f"Sentence number {k} of the reader ends here.") for k in range(50)] + [(100, 0, "assistant", long), (101, 0, "assistant", long[long.index("bob") :])]
+    got = {r.rec_id for r in T.cut_texts(spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")).where("cut_start").collect()}
+    assert got == {101}

@@ -1,12 +1,12 @@
 """Problem 4: texts cut off by field limits or broken transfers.
 
-Two kinds of evidence.  Near-copies: texts are banded by min-hashes of their first and of their last
-words; in a bucket the sorted texts meet their neighbours, verified pairs are aligned, and the copy whose
-alignment ends early (or begins late) inside the other's sentence is cut.  Unmatched texts are scored by
+Two kinds of evidence.  Longer copies: texts are bucketed by one key, made of four min-hashes, of their first
+and one of their last words; in a bucket the sorted texts meet their next neighbours, and a text that is an
+exact prefix (or suffix) of the neighbour and stops (or starts) inside its sentence is cut.  There is no banding
+and no alignment: a cut copy with an edited word is not matched.  Unmatched texts are scored by
 terminality: how often a closing word or line, seen anywhere in texts of its kind, closes a text, and the
-same for openings.  Counts are taken over all
-distinct texts (a text counts once, however often it is copied) and stay distributed; they meet the
-texts by joins.
+same for openings.  Counts are taken over all distinct texts (a text counts once, however often it is
+copied) and stay distributed; they meet the texts by joins.
 """
 
 from __future__ import annotations
@@ -16,6 +16,7 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import regex
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -93,7 +94,7 @@ _TYPES = [pa.int8(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int8(),
 
 
 def _sketch(words: list[list[str]]) -> np.ndarray:
-    """One banded min-hash key of each short word list; equal ends give equal keys whatever else differs."""
+    """One key of four min-hashes of each short word list; equal ends give equal keys whatever else differs."""
     import xxhash
 
     known: dict[str, int] = {}
@@ -201,7 +202,7 @@ def _features(texts: DataFrame) -> DataFrame:
                     counts.add(start_key, 1, 0)
                     first = bare[0]
                     if not first.isalpha() or first.isupper() or "一" <= first <= "鿿":
-                        start_state = 0 if not ("一" <= first <= "鿿") else 2
+                        start_state = 0
                     elif low == bare:
                         start_state = 2
                     else:
@@ -232,34 +233,55 @@ def _limits(judged: DataFrame) -> DataFrame:
 
 
 def _aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
-    """rec_id, item_no, early, late: texts that a near-copy shows to end, or begin, inside a sentence.
+    """rec_id, item_no, early, late: texts that a longer text shows to end, or begin, inside a sentence.
 
     Only texts whose head (or tail) sketch several different texts share take part.  They are range
     sorted by sketch and text, so a bucket of any size spreads over tasks; a text that is a prefix of
-    others stands right before one of them.  Suffixes: the same on reversed texts."""
+    others stands right before one of them; the last of a part meets the first of the next.  Suffixes: the same on
+    reversed texts.  Only whole texts that are a prefix or suffix are matched, not copies with an edited word."""
     one_each = features.groupBy("text_key").agg(F.min(F.struct("rec_id", "item_no")).alias("r"), F.first("head").alias("head"), F.first("tail").alias("tail"))
     for sketch in ("head", "tail"):
         shared = one_each.groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n")).where(f"{sketch}_n > 1")
         one_each = one_each.join(shared, sketch, "left")
     some = one_each.where("head_n is not null or tail_n is not null").select("r.rec_id", "r.item_no", "text_key", "head", "tail", "head_n", "tail_n")
     ends = durable(texts.select("rec_id", "item_no", F.regexp_replace("text", r"^\s+|\s+$", "").alias("text")).join(some, ["rec_id", "item_no"]).dropDuplicates(["text_key"]))
+    edge, kinds = ["part", "at", "sketch", "text_key", "sorted"], [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
     out = None
     for sketch, mark, turn in (("head", "early", False), ("tail", "late", True)):
         one = ends.where(f"{sketch}_n is not null").select(sketch, "text_key", (F.reverse("text") if turn else F.col("text")).alias("sorted"))
         parts = one.repartitionByRange(sketch, "sorted").sortWithinPartitions(sketch, "sorted")
 
+        def hits(rows: list[tuple], turn: bool) -> list[int]:
+            return [a[1] for a, b in zip(rows, rows[1:]) if a[0] == b[0] and len(b[2]) > len(a[2]) and b[2].startswith(a[2]) and _inside(a[2], b[2], turn)]
+
         def run(batches: Iterator[pa.RecordBatch], turn=turn) -> Iterator[pa.RecordBatch]:
-            before: tuple | None = None
+            part = TaskContext.get().partitionId()
+            first: tuple | None = None
+            last: tuple | None = None
+            for batch in batches:
+                rows = list(zip(*(c.to_pylist() for c in batch.columns)))
+                if not rows:
+                    continue
+                hit = hits([last, *rows] if last else rows, turn)
+                first, last = first or rows[0], rows[-1]
+                none = [None] * len(hit)
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip((none, none, none, hit, none), kinds)], names=edge)
+            if first:
+                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(([part, part], [0, 1], *zip(first, last)), kinds)], names=edge)
+
+        def meet(batches: Iterator[pa.RecordBatch], turn=turn) -> Iterator[pa.RecordBatch]:
+            last: tuple | None = None
             for batch in batches:
-                hit = []
-                for row in zip(*(c.to_pylist() for c in batch.columns)):
-                    if before is not None and before[0] == row[0] and len(row[2]) > len(before[2]) and row[2].startswith(before[2]):
-                        if _inside(before[2], row[2], turn):
-                            hit.append(before[1])
-                    before = row
+                hit: list[int] = []
+                for _, at, *row in zip(*(c.to_pylist() for c in batch.columns)):
+                    if at == 0 and last:
+                        hit.extend(hits([last, row], turn))
+                    last = row
                 yield pa.RecordBatch.from_arrays([pa.array(hit, pa.int64())], names=["text_key"])
 
-        keys = parts.mapInArrow(run, "text_key bigint").distinct()
+        made = durable(parts.mapInArrow(run, "part int, at int, sketch bigint, text_key bigint, sorted string"))
+        edges = made.where("part is not null").repartition(1).sortWithinPartitions("part", "at")  # two rows for each part
+        keys = made.where("part is null").select("text_key").unionByName(edges.mapInArrow(meet, "text_key bigint")).distinct()
         found = features.join(keys, "text_key", "left_semi").select("rec_id", "item_no", F.lit(mark).alias("side"))
         out = found if out is None else out.unionByName(found)
     return out.groupBy("rec_id", "item_no").agg(F.bool_or(F.col("side") == "early").alias("early"), F.bool_or(F.col("side") == "late").alias("late"))
@@ -318,8 +340,9 @@ def _judged(texts: DataFrame) -> DataFrame:
     end_prose = F.when(F.col("end_state") == 3, c("whole_texts") < few).otherwise((c("end_any") < 3) | (c("end_last") < 0.2 * c("end_any")))
     cut_end = F.when(F.col("end_state") == 1, True).when(log & stock_end, False).when(log, end_log).when(F.col("end_state") == 0, False).otherwise(end_prose) | F.coalesce("early", F.lit(False))
     start_log = (~seen_inside & ~(c("start_texts") >= typical)) | (seen_inside & (c("start_first") < 0.02 * c("start_any")))
+    late = F.coalesce("late", F.lit(False)) & (log | (F.col("start_state") != 0))  # prose that begins with a capital or in Chinese may have been quoted whole behind a few words
     start_prose = (F.col("start_state") == 1) & (c("start_texts") < few_opened)
-    cut_start = F.when(log & stock & ~seen_inside, False).when(log, start_log).otherwise(start_prose) | (log & F.coalesce("late", F.lit(False)))
+    cut_start = F.when(log & stock & ~seen_inside, False).when(log, start_log).otherwise(start_prose) | late
     judged = durable(x.select("rec_id", "kind", "size", "text_key", (~log & (F.col("end_state") == 0)).alias("closed"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
     limits = _limits(judged.withColumn("cut", F.col("cut_start") | F.col("cut_end")))
     full = judged.join(limits, ["kind", "size"], "left")
