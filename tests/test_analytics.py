@@ -247,3 +247,17 @@ def test_cosine(spark):
     df = spark.createDataFrame([(50, [1.0, 0.0], 1), (51, [1.0, 1.0], 1), (52, [0.0, 0.0], 1), (100, [1.0, 0.0], 1), (7, [1.0, 0.0], 2)], "id int, v array<double>, b int")
     got = {(r.a, r.b): r.cosine for r in V.cosine_to_queries(df, "id", "v", "b", 50).collect()}
     assert got == {(50, 51): 0.70711, (50, 52): None, (50, 100): 1.0, (51, 100): 0.70711, (52, 100): None}
+
+
+def test_cosine_neighbours_meet_all_labels(spark, tmp_path):
+    import random
+
+    import __spark_entry__ as entry
+
+    random.seed(3)
+    rows = [(k, [random.uniform(-1, 1) for _ in range(6)], None if k == 7 else k % 4) for k in range(120)]
+    spark.createDataFrame(rows, "vec_id bigint, embedding array<float>, label int").write.parquet(str(tmp_path / "embeddings.parquet"))
+    got = {(r.a, r.b): r.cosine for r in entry.queries()["cosine_neighbours"](spark, str(tmp_path)).collect()}
+    size = lambda v: sum(x * x for x in v) ** 0.5
+    want = {(a, b): sum(p * q for p, q in zip(x, y)) / size(x) / size(y) for a, x, _ in rows for b, y, _ in rows if a < b and (a % 50 == 0 or b % 50 == 0)}
+    assert set(got) == set(want) and all(abs(got[k] - want[k]) < 2e-5 for k in want)

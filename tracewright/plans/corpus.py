@@ -140,7 +140,7 @@ def recipe_counts(s, d):
 def cosine_neighbours(s, d):
     from tracewright.operators.vectors import cosine_to_queries
 
-    return cosine_to_queries(table(s, d, "embeddings"), "vec_id", "embedding", "label", 50)
+    return cosine_to_queries(table(s, d, "embeddings"), "vec_id", "embedding", None, 50)
 
 
 @query("top_entities", None)
