@@ -122,3 +122,12 @@ def test_export_messages(spark):
     df = spark.createDataFrame(rows, "k string, ord int, role string, text string, reasoning string, parts array<struct<call_id:string,tool:string,input:string,output:string,status:string>>")
     got = M.export_messages(df, "k").first().messages
     assert [(m.role, m.content, m.tool_call_id) for m in got] == [("user", "go", None), ("assistant", "", None), ("tool", "", "c")]
+
+
+def test_tool_classes_count_every_call(spark, sessions, tmp_path):
+    import __spark_entry__ as entry
+
+    calls = [("bash", '{"command": "ls -l"}'), ("bash", '{"command": "rm -r x"}'), ("Shell", '{"cmd": "git commit"}'), (None, "{}"), ("read", "{}"), ("bash", None)]
+    sessions([(1, [message("assistant", "", [(str(k), n, a) for k, (n, a) in enumerate(calls)])]), (2, [message("assistant", "", [("9", "read", "{}")])])]).write.parquet(str(tmp_path / "sft_dataset.parquet"))
+    got = {(r.name, r["cat"]): r.calls for r in entry.queries()["tool_classes"](spark, str(tmp_path)).collect()}
+    assert got == {("bash", "readonly"): 2, ("bash", "mutating"): 1, ("Shell", "mutating"): 1, (None, "other"): 1, ("read", "readonly"): 2}

@@ -186,8 +186,7 @@ def call_results(s, d):
     WHEN regexp_matches(lower(name), '^(read|view|cat|glob|grep|ls|list|search|codebase_search|web_search|websearch|webfetch|web_fetch|fetch|conversation_search|recent_chats|get|find)') THEN 'readonly' ELSE 'other' END AS cat, count(*) AS calls FROM c GROUP BY 1, 2""",
 )
 def tool_classes(s, d):
-    c = _call_rows(s, d).where(~F.lower("name").isin(T.SHELLS))
-    return c.groupBy("name", T.tool_class(F.col("name"), F.col("arguments")).alias("cat")).agg(F.count(F.lit(1)).alias("calls"))
+    return _call_rows(s, d).groupBy("name", T.tool_class(F.col("name"), F.col("arguments")).alias("cat")).agg(F.count(F.lit(1)).alias("calls"))
 
 
 @query(
