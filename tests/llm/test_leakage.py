@@ -61,3 +61,17 @@ def test_paraphrases_survive_a_changed_word(spark):
     i = spark.createDataFrame([(7, item)], "item_id bigint, text string")
     got = L._searched(d, i, L.paraphrases, "doc_id bigint, item_id bigint, cosine double, common_words int").collect()
     assert {(r.doc_id, r.item_id) for r in got} == {(1, 7)} and L.leaks(d, i).count() == 0
+
+
+def test_paraphrases_between_windows_at_ends_and_of_short_items(spark):
+    long = [f"term{k}" for k in range(30)]
+    short = "palette glacier ships without runner cluster today".split()
+
+    def reworded(words, *at):
+        return " ".join("changed" if k in at else w for k, w in enumerate(words))
+
+    docs = [(1, "begin " + reworded(long[4:17], 3, 8) + " end"), (2, "so " + reworded(long[17:30], 2, 5) + " end"), (3, "and " + reworded(short, 3) + " end"), (4, "nothing in common here at all")]
+    d = spark.createDataFrame(docs, "doc_id bigint, text string")
+    i = spark.createDataFrame([(7, " ".join(long)), (8, " ".join(short)), (9, "changed")], "item_id bigint, text string")
+    got = {(r.doc_id, r.item_id) for r in L._searched(d, i, L.paraphrases, "doc_id bigint, item_id bigint, cosine double, common_words int").collect()}
+    assert got == {(1, 7), (2, 7), (3, 8)}

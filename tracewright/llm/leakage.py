@@ -252,40 +252,45 @@ def _common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
 def paraphrases(encoded: DataFrame, block: ItemBlock, idf: np.ndarray, space: np.ndarray, width: int = RUN, least: float = 0.8, common: float = 0.6, rare_share: float = 0.5) -> DataFrame:
     """doc_id, item_id, cosine, common_words: passages of ``width`` vocabulary words alike in meaning.
 
+    Windows begin at every word of documents and items; an item of fewer words is one window of its
+    length; items of one word are not searched, one word has no paraphrase.
     Kept is a pair whose longest common subsequence covers ``common`` of the passage and whose document
     passage holds ``rare_share`` of the item passage's answer words (those of above-median idf)."""
     latent = idf[:, None] * space
-    owner, start, terms = _item_windows(block, width, (width + 1) // 2)
-    vectors = _unit(latent[terms].sum(axis=1)) if len(terms) else np.empty((0, latent.shape[1]), np.float32)
+    groups = []
+    for wide in sorted({min(width, len(w)) for w in block.words if len(w) > 1}):
+        some = ItemBlock(block.ids, [w if min(width, len(w)) == wide else w[:0] for w in block.words], block.vocabulary)
+        owner, _, terms = _item_windows(some, wide, 1)
+        groups.append((wide, owner, terms, _unit(latent[terms].sum(axis=1))))
     middle = float(np.median(idf)) if len(idf) else 0.0
-    shared = encoded.sparkSession.sparkContext.broadcast((latent, owner, terms, vectors, np.array(block.ids, dtype=np.int64), idf))
+    shared = encoded.sparkSession.sparkContext.broadcast((latent, groups, np.array(block.ids, dtype=np.int64), idf))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        latent, owner, terms, vectors, ids, idf = shared.value
+        latent, groups, ids, idf = shared.value
         for batch in batches:
             flat, row = _flat(batch)
             docs = batch.column(0).to_numpy(zero_copy_only=False)
             best: dict[tuple[int, int], tuple[float, int]] = {}
             keep = flat >= 0
             t, r = flat[keep], row[keep]
-            at = np.arange(0, max(0, len(t) - width + 1))
-            at = at[r[at] == r[at + width - 1]] if len(at) else at
-            if len(at) and len(owner):
-                first = np.concatenate(([True], np.diff(r[at]) != 0))
-                begin = np.maximum.accumulate(np.where(first, np.arange(len(at)), 0))
-                at = at[(np.arange(len(at)) - begin) % 3 == 0]
-                window = t[at[:, None] + np.arange(width)]
-                a, b, c = _pairs_above(_unit(latent[window].sum(axis=1)), vectors, least)
-                for i, w, cosine in zip(a, b, c):
-                    key = (int(docs[r[at[i]]]), int(ids[owner[w]]))
-                    if key in best and best[key][0] >= cosine:
-                        continue
-                    rare = {int(x) for x in terms[w] if idf[x] >= middle}
-                    if rare and len(rare & set(window[i].tolist())) < rare_share * len(rare):
-                        continue
-                    n = _common_subsequence(window[i].tolist(), terms[w].tolist())
-                    if n >= common * width:
-                        best[key] = (float(cosine), n)
+            for wide, owner, terms, vectors in groups:
+                at = np.arange(0, max(0, len(t) - wide + 1))
+                at = at[r[at] == r[at + wide - 1]] if len(at) else at
+                for k in range(0, len(at), 65536):
+                    part = at[k : k + 65536]
+                    window = t[part[:, None] + np.arange(wide)]
+                    a, b, c = _pairs_above(_unit(latent[window].sum(axis=1)), vectors, least)
+                    order = np.argsort(-c, kind="stable")  # the most alike first, so most pairs are settled by their first candidates
+                    for i, w, cosine in zip(a[order], b[order], c[order]):
+                        key = (int(docs[r[part[i]]]), int(ids[owner[w]]))
+                        if key in best and best[key][0] >= cosine:
+                            continue
+                        rare = {int(x) for x in terms[w] if idf[x] >= middle}
+                        if rare and len(rare & set(window[i].tolist())) < rare_share * len(rare):
+                            continue
+                        n = _common_subsequence(window[i].tolist(), terms[w].tolist())
+                        if n >= common * wide:
+                            best[key] = (float(cosine), n)
             keys = list(best)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([best[k][0] for k in keys], pa.float64()), pa.array([best[k][1] for k in keys], pa.int32())], names=["doc_id", "item_id", "cosine", "common_words"])
 
