@@ -131,3 +131,11 @@ def test_tool_classes_count_every_call(spark, sessions, tmp_path):
     sessions([(1, [message("assistant", "", [(str(k), n, a) for k, (n, a) in enumerate(calls)])]), (2, [message("assistant", "", [("9", "read", "{}")])])]).write.parquet(str(tmp_path / "sft_dataset.parquet"))
     got = {(r.name, r["cat"]): r.calls for r in entry.queries()["tool_classes"](spark, str(tmp_path)).collect()}
     assert got == {("bash", "readonly"): 2, ("bash", "mutating"): 1, ("Shell", "mutating"): 1, (None, "other"): 1, ("read", "readonly"): 2}
+
+
+def test_drop_reason_cascade_has_the_length_gate(spark, sessions, tmp_path):
+    import __spark_entry__ as entry
+
+    sessions([(1, [message("user", "go"), message("assistant", "word " * 80_000)]), (2, [message("user", "go")])]).write.parquet(str(tmp_path / "sft_dataset.parquet"))
+    got = {r.drop_reason: r.n for r in entry.queries()["drop_reason_cascade"](spark, str(tmp_path)).collect()}
+    assert got == {"long": 1, "kept": 1}

@@ -127,7 +127,7 @@ def tool_loop_counts(s, d):
     SELECT coalesce(drop_reason, 'kept') AS drop_reason, count(*) AS n FROM r GROUP BY 1""",
 )
 def drop_reason_cascade(s, d):
-    r = Q.drop_reasons(_sft(s, d), "sample_id", max_tokens=1 << 40)
+    r = Q.drop_reasons(_sft(s, d), "sample_id")
     return r.groupBy(F.coalesce("drop_reason", F.lit("kept")).alias("drop_reason")).agg(F.count(F.lit(1)).alias("n"))
 
 
