@@ -74,3 +74,10 @@ def test_long_session_over_many_chunks(spark):
         assert [t.turn_no for t in turns] == list(range(6000)) and turns[4001].content == "a2000"
     finally:
         spark.conf.unset("spark.sql.execution.arrow.maxRecordsPerBatch")
+
+
+def test_conversations_keep_rows_with_null_ids_and_null_ingestion(spark):
+    late = lambda r: (*r[:5], None, *r[6:])
+    rows = [q(None, "ids", "20260101-000001", U("one")), a(None, "ids", "20260101-000002", A("two")), late(q(3, "times", "20260101-000001", U("three"))), late(a(4, "times", "20260101-000002", A("four"))), late(a(5, "both", "20260101-000002", A("old"))), a(5, "both", "20260101-000002", A("new")), q(6, "both", "20260101-000001", U("six"))]
+    got = sorted((r.session_id, r.turn_no, r.content) for r in R.conversations(spark.createDataFrame(rows, SCHEMA)).collect())
+    assert got == [("both", 0, "six"), ("both", 1, "new"), ("ids", 0, "one"), ("ids", 1, "two"), ("times", 0, "three"), ("times", 1, "four")]

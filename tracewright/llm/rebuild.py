@@ -66,7 +66,14 @@ def folded_rows(records: DataFrame) -> DataFrame:
 
     The version ingested last wins; of equal ones, whichever sorts last.  Rows without a session are
     left out; a null record_id stands for itself."""
-    light = F.transform(
+    light = _light_messages()
+    rows = records.where("session_id is not null").select("session_id", "record_id", instant_micros(F.col("timestamp")).alias("at"), light.alias("msgs"), "ingested_at")
+    kept = rows.where("record_id is not null").groupBy("session_id", "record_id").agg(F.max(F.struct(F.col("ingested_at"), F.col("at"), F.col("msgs"))).alias("v"))
+    return kept.select("session_id", "record_id", "v.at", "v.msgs").unionByName(rows.where("record_id is null").select("session_id", "record_id", "at", "msgs"))
+
+
+def _light_messages() -> Column:
+    return F.transform(
         row_messages(),
         lambda m: F.struct(
             role_name(m["role"]).alias("role"),
@@ -75,9 +82,6 @@ def folded_rows(records: DataFrame) -> DataFrame:
             F.transform(F.coalesce(m["tool_calls"], F.array()), lambda c: F.when(c["id"].isNotNull(), F.xxhash64(c["id"]))).alias("calls"),
         ),
     )
-    rows = records.where("session_id is not null").select("session_id", "record_id", instant_micros(F.col("timestamp")).alias("at"), light.alias("msgs"), "ingested_at")
-    kept = rows.where("record_id is not null").groupBy("session_id", "record_id").agg(F.max(F.struct(F.col("ingested_at"), F.col("at"), F.col("msgs"))).alias("v"))
-    return kept.select("session_id", "record_id", "v.at", "v.msgs").unionByName(rows.where("record_id is null").select("session_id", "record_id", "at", "msgs"))
 
 
 def ordered_messages(rows: DataFrame) -> DataFrame:
@@ -181,9 +185,10 @@ def conversations(records: DataFrame) -> DataFrame:
     call_names.  A turn stays a row, so a session of any length is never gathered in one place; turn
     numbers are local ranks of range-sorted parts plus the parts' offsets."""
     keep = session_verdicts(records).where("reason is null").select("session_id")
-    versions = records.where("session_id is not null and record_id is not null").groupBy("session_id", "record_id").agg(F.max("ingested_at").alias("ingested_at"))
-    stamped = records.withColumn("at", instant_micros(F.col("timestamp"))).select("session_id", "record_id", "ingested_at", "at", row_messages().alias("msgs"))
-    latest = stamped.join(versions, ["session_id", "record_id", "ingested_at"]).dropDuplicates(["session_id", "record_id"]).join(keep, "session_id", "left_semi")
+    # The version is chosen as folded_rows chooses it; rows without a record_id each stand for themselves.
+    rows = records.where("session_id is not null").select("session_id", "record_id", "ingested_at", instant_micros(F.col("timestamp")).alias("at"), _light_messages().alias("light"), row_messages().alias("msgs")).join(keep, "session_id", "left_semi")
+    kept = rows.where("record_id is not null").groupBy("session_id", "record_id").agg(F.max(F.struct("ingested_at", "at", "light", "msgs")).alias("v"))
+    latest = kept.select("session_id", "record_id", "v.at", "v.msgs").unionByName(rows.where("record_id is null").select("session_id", "record_id", "at", "msgs"))
     turns = latest.select("session_id", "at", "record_id", F.posexplode("msgs").alias("pos", "m"))
     order = ["session_id", "at", "record_id", "pos"]
     parts = turns.repartitionByRange(max(2, shuffle_partitions(records.sparkSession)), *order).sortWithinPartitions(*order)
