@@ -87,3 +87,31 @@ def test_a_longer_copy_shows_a_lost_beginning_of_prose(spark):
     rows = [(k, 0, "assistant", f"Sentence number {k} of the reader ends here.") for k in range(50)] + [(100, 0, "assistant", long), (101, 0, "assistant", long[long.index("bob") :])]
     got = {r.rec_id for r in T.cut_texts(spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")).where("cut_start").collect()}
     assert got == {101}
+
+
+def test_a_near_copy_with_an_edited_opening_shows_the_cut(spark):
+    random.seed(3)
+    words = [f"{random.choice('abcdefgh')}{k}word" for k in range(110)]
+    long = "The reader " + " ".join(words) + "."
+    edited = "A keeper " + " ".join(words[:100]) + "."  # some 800 characters, closed by a full stop of its own
+    open_end = "A keeper " + " ".join(words[:99]) + " " + words[99][:3]
+    lost = " ".join(words[6:50] + ["other"] + words[51:]) + "."
+    rows = [(k, 0, "assistant", f"Sentence number {k} of the reader ends here.") for k in range(50)] + [(100, 0, "assistant", long), (101, 0, "assistant", edited), (102, 0, "assistant", open_end), (103, 0, "assistant", lost)]
+    texts = spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")
+    got = T._aligned(texts, T._features(texts).where("tag = 0")).collect()
+    assert {r.rec_id for r in got if r.early} == {102} and {r.rec_id for r in got if r.late} == {103}
+    assert {r.rec_id for r in T.cut_texts(texts).where("cut_end").collect()} == {102}
+
+
+def test_logs_that_end_with_a_whole_line_are_whole(spark):
+    """Logs without the usual closing count as cut only if their last line is broken."""
+    random.seed(4)
+    step = lambda: f"INFO  step {random.randint(1, 99)}: {random.choice(['load', 'bind', 'drain'])}_thing done"
+    rows = []
+    for k in range(120):
+        lines = [f"$ verify part-{k} --quiet", *[step() for _ in range(random.randint(3, 9))]]
+        if k % 3:
+            lines.append(f"{k % 9} failed, {k % 7} passed in 3 s.")
+        rows.append((k, 0, "stderr", "\n".join(lines) + ("\n" + "INFO  step 7: load_thing done"[: 8 + k // 6] if k % 20 == 0 else "")))
+    got = {r.rec_id for r in T.cut_texts(spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")).where("cut_end or cut_start").collect()}
+    assert got == {k for k in range(120) if k % 20 == 0}

@@ -1,12 +1,15 @@
 """Problem 4: texts cut off by field limits or broken transfers.
 
-Two kinds of evidence.  Longer copies: texts are bucketed by one key, made of four min-hashes, of their first
-and one of their last words; in a bucket the sorted texts meet their next neighbours, and a text that is an
-exact prefix (or suffix) of the neighbour and stops (or starts) inside its sentence is cut.  There is no banding
-and no alignment: a cut copy with an edited word is not matched.  Unmatched texts are scored by
-terminality: how often a closing word or line, seen anywhere in texts of its kind, closes a text, and the
-same for openings.  Counts are taken over all distinct texts (a text counts once, however often it is
-copied) and stay distributed; they meet the texts by joins.
+Longer copies first.  Exact ones: texts that share their first (or last) characters are range sorted, and a
+text that is a prefix (or suffix) of the next one and stops (or starts) inside its sentence is cut.  Near
+ones: texts are banded on min-hashes of their five-word runs, candidate pairs are verified exactly
+(similarity 0.8 or more) and aligned at the shorter text's closing (or opening) words; the copy whose
+alignment ends early is cut.  Unmatched texts are scored by terminality: how often a closing word or line,
+seen anywhere in texts of its kind, closes a text or a line, and the same for openings.  A log's last line
+that is built like whole lines of other logs says nothing, so such a log counts as whole unless its length
+is a field limit or texts that open as it does nearly always have a closing.  Counts are taken over all
+distinct texts (a text counts once, however often it is copied) and stay distributed; they meet the texts
+by joins.
 """
 
 from __future__ import annotations
@@ -20,7 +23,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tracewright.functions.runs import mix64
+from tracewright.functions.runs import WordHasher, mix64, rolling
 from tracewright.llm.textkit import visible
 from tracewright.session import clean_label, durable, table
 
@@ -36,13 +39,19 @@ _DIGITS = regex.compile(r"\d+")
 _IDENT = regex.compile(r"[\w./\-]*[/_][\w./\-]*|\p{Lu}\p{Ll}+\p{Lu}\w*|\d+(?:\.\d+)*")
 _LIST = regex.compile(r"^(?:[-*+•]|\d+[.)])\s")
 EXTENSION = regex.compile(r"\.(\w+)([^\w]*)$")
+_CODE_ONLY = regex.compile(r"^(?:`[^`\n]+`|\x60{3}.*\x60{3})$", regex.S)
+_LAST_RUN = regex.compile(r"([\p{L}]+|\d+)[^\p{L}\d]*$")
 LOG_KINDS = frozenset({"tool", "stderr"})
-HEAD_WORDS = 12
-SALTS = (0x243F6A8885A308D3, 0x13198A2E03707344, 0xA4093822299F31D0, 0x082EFA98EC4E6C89)
+#: Exact copies: a prefix or suffix proves nothing unless so many characters agree.
+HEAD_CHARS = 40
+#: Near copies: five-word runs, similarity of 0.8 or more, eight bands of two min-hashes.
+RUN_WORDS, SIMILAR, BANDS, BAND_ROWS = 5, 0.8, 8, 2
 #: A field limit is a length that so many texts of a kind share, and so many times more than lengths near it.
 LIMIT_LEAST, LIMIT_TIMES, LIMIT_NEAR = 12, 12.0, 10
 #: A closing or opening is typical of logs if so many of the kind's texts have it.
 TYPICAL = 0.025
+#: Logs that open alike are framed if such a share of them has a typical closing.
+FRAMED = 0.9
 #: A pattern or opening that a smaller share of the kind's texts has is no evidence that prose is whole.
 FEW = 0.0005
 
@@ -88,29 +97,28 @@ class _Counter:
             got[2] += last
 
 
-_FIELDS = "tag tinyint, rec_id bigint, item_no int, kind string, size int, end_state tinyint, end_key bigint, start_state tinyint, start_key bigint, whole_key bigint, head bigint, tail bigint, text_key bigint, line_key bigint, n_any bigint, n_first bigint, n_last bigint"
+_FIELDS = "tag tinyint, rec_id bigint, item_no int, kind string, size int, end_state tinyint, end_key bigint, start_state tinyint, start_key bigint, whole_key bigint, head bigint, tail bigint, text_key bigint, line_key bigint, run_key bigint, bands array<bigint>, n_any bigint, n_first bigint, n_last bigint"
 _NAMES = [f.split()[0] for f in _FIELDS.split(", ")]
-_TYPES = [pa.int8(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int8(), pa.int64(), pa.int8(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64(), pa.int64()]
-
-
-def _sketch(words: list[list[str]]) -> np.ndarray:
-    """One key of four min-hashes of each short word list; equal ends give equal keys whatever else differs."""
-    import xxhash
-
-    known: dict[str, int] = {}
-    n = len(words)
-    grid = np.zeros((n, HEAD_WORDS), dtype=np.uint64)
-    for k, ws in enumerate(words):
-        for j, w in enumerate(ws):
-            h = known.get(w)
-            if h is None:
-                h = known[w] = xxhash.xxh64_intdigest(w)
-            grid[k, j] = h
-    shingles = mix64(grid[:, :-1] * np.uint64(0x9E3779B97F4A7C15) + grid[:, 1:])
-    key = np.zeros(n, dtype=np.uint64)
-    for r in range(len(SALTS)):
-        key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + mix64(shingles ^ np.uint64(SALTS[r])).min(axis=1))
-    return key.view(np.int64)
+_TYPES = [pa.int8(), pa.int64(), pa.int32(), pa.string(), pa.int32(), pa.int8(), pa.int64(), pa.int8(), *[pa.int64()] * 7, pa.list_(pa.int64()), pa.int64(), pa.int64(), pa.int64()]
+
+
+def _bands(words: list[np.ndarray]) -> pa.Array:
+    """Keys of the bands of min-hashes of each text's five-word runs; none for texts of fewer words."""
+    size = np.array([max(0, len(w) - RUN_WORDS + 1) for w in words], dtype=np.int64)
+    some = np.flatnonzero(size)
+    keys = np.empty((len(some), BANDS), dtype=np.uint64)
+    if len(some):
+        begin = np.cumsum([0, *map(len, words)])[:-1][some]
+        start = np.cumsum(size[some]) - size[some]
+        flat = rolling(np.concatenate(words), RUN_WORDS)[np.repeat(begin - start, size[some]) + np.arange(size.sum())]  # runs within one text
+        for b in range(BANDS):
+            key = np.full(len(some), b + 1, dtype=np.uint64)
+            for r in range(BAND_ROWS):
+                salt = mix64(np.uint64([b * BAND_ROWS + r + 1]))[0]
+                key = mix64(key * np.uint64(0xD6E8FEB86659FD93) + np.minimum.reduceat(mix64(flat ^ salt), start))
+            keys[:, b] = key
+    ends = np.cumsum(np.concatenate(([0], np.where(size > 0, BANDS, 0)))).astype(np.int32)
+    return pa.ListArray.from_arrays(pa.array(ends), pa.array(keys.ravel().view(np.int64)))
 
 
 def _features(texts: DataFrame) -> DataFrame:
@@ -123,6 +131,7 @@ def _features(texts: DataFrame) -> DataFrame:
 
         cache: dict[str, str] = {}
         counts = _Counter()
+        hasher = WordHasher()
 
         def name(*parts: str) -> int:
             return xxhash.xxh64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
@@ -132,40 +141,40 @@ def _features(texts: DataFrame) -> DataFrame:
             v = list(counts.at.values())
             counts.at = {}
             none = [None] * len(keys)
-            cols = [[1] * len(keys), none, none, none, none, none, keys, none, none, none, none, none, none, none, [x[0] for x in v], [x[1] for x in v], [x[2] for x in v]]
+            cols = [[1] * len(keys), *[none] * 5, keys, *[none] * 9, [x[0] for x in v], [x[1] for x in v], [x[2] for x in v]]
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], names=_NAMES)
 
         for batch in batches:
             out: list[list] = []
-            heads, tails = [], []
+            hashed: list[np.ndarray] = []
             for rec, item, kind, text in zip(*(c.to_pylist() for c in batch.columns)):
                 bare = text.strip()
                 if not visible(bare):
                     continue
                 low = bare.casefold()
-                words = low[:400].split()[:HEAD_WORDS]
-                heads.append(words if len(words) > 3 else [low])
-                last_words = low[-400:].split()[-HEAD_WORDS:]
-                tails.append(last_words if len(last_words) > 3 else [low])
+                hashed.append(hasher(low.split()))
                 lines = bare.split("\n")
                 last_line = lines[-1]
                 marked = any(bare.endswith(m) for m in MARKS) or bare.startswith("�")
                 if kind in LOG_KINDS:
-                    end_key = start_key = line_key = 0
+                    end_key = start_key = line_key = run_key = 0
                     n = len(lines)
                     for k, line in enumerate(lines):
-                        parts = line.split(None, 1)
+                        parts = line.split()
                         if not parts:
                             continue
                         a = _mask(parts[0], cache)
-                        b = _mask(line.rsplit(None, 1)[-1], cache)
-                        closing = name("c", kind, a, b)
+                        closing = name("c", kind, a, _mask(parts[-1], cache), str(len(parts)))
                         counts.add(closing, 0, int(k == n - 1))
                         begun = name("f", kind, a)
                         counts.add(begun)
+                        last_run = _LAST_RUN.search(line)
+                        run = name("v", kind, _DIGITS.sub("N", last_run[1].casefold()) if last_run else "")
                         if k == n - 1:
-                            end_key, line_key = closing, begun
-                        second = _mask(parts[1].split(None, 1)[0], cache) if len(parts) > 1 and parts[1] else ""
+                            end_key, line_key, run_key = closing, begun, run
+                        else:
+                            counts.add(run)  # words that close whole lines
+                        second = _mask(parts[1], cache) if len(parts) > 1 else ""
                         opening = name("o", kind, "P" if a[:2] == "P." else a, "P" if second[:2] == "P." else second)
                         counts.add(opening, int(k == 0), 0)
                         if k == 0:
@@ -173,14 +182,14 @@ def _features(texts: DataFrame) -> DataFrame:
                     end_state, start_state, whole = (1 if marked else 2), 2, 0  # logs are judged by lines, not by whole patterns
                 else:
                     open_fence = bool(bare.count("```") % 2) and not bare.endswith("```") and (_FENCE_OPEN.search(bare[bare.rindex("```") :]) is not None or not _CLOSED.search(last_line))
-                    whole = name("w", kind, _IDENT.sub("X", low)) if len(bare) < 400 else name("l", kind, low)
-                    line_key = 0
+                    whole = name("w", kind, _IDENT.sub("X", low))
+                    line_key = run_key = 0
                     item_line = bool(_LIST.match(last_line))
                     last = _mask(last_line.rsplit(None, 1)[-1], cache)
                     end_key = name("c", kind, "l" if item_line else "p", last)
                     if marked or open_fence:
                         end_state = 1
-                    elif len(lines) == 1 and len(words) <= 2:
+                    elif _CODE_ONLY.search(bare):
                         end_state = 0
                     elif _CLOSED.search(last_line) and not _SOFT.search(last_line):
                         end_state = 1 if _VERSION.search(last_line) and not item_line else 0
@@ -207,11 +216,11 @@ def _features(texts: DataFrame) -> DataFrame:
                         start_state = 2
                     else:
                         start_state = 1
-                out.append([0, rec, item, kind, len(text), end_state, end_key, start_state, start_key, whole, 0, 0, name("t", bare), line_key, None, None, None])
+                head, tail = (name("h", low[:HEAD_CHARS]), name("t", low[-HEAD_CHARS:])) if len(low) >= HEAD_CHARS else (None, None)
+                out.append([0, rec, item, kind, len(text), end_state, end_key, start_state, start_key, whole, head, tail, name("t", bare), line_key, run_key, None, None, None, None])
             if out:
-                head, tail = _sketch(heads), _sketch(tails)
                 cols = [list(c) for c in zip(*out)]
-                cols[10], cols[11] = head, tail
+                cols[15] = _bands(hashed)
                 yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, _TYPES)], names=_NAMES)
             if len(counts.at) > counts.most:
                 yield flush()
@@ -232,16 +241,16 @@ def _limits(judged: DataFrame) -> DataFrame:
     return spiking.select("kind", "size", F.lit(True).alias("at_limit"))
 
 
-def _aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
-    """rec_id, item_no, early, late: texts that a longer text shows to end, or begin, inside a sentence.
+def _prefixes(texts: DataFrame, features: DataFrame) -> DataFrame:
+    """text_key, mark (early or late): texts that a longer text shows to end, or begin, inside a sentence.
 
-    Only texts whose head (or tail) sketch several different texts share take part.  They are range
-    sorted by sketch and text, so a bucket of any size spreads over tasks; a text that is a prefix of
-    others stands right before one of them; the last of a part meets the first of the next.  Suffixes: the same on
-    reversed texts.  Only whole texts that are a prefix or suffix are matched, not copies with an edited word."""
+    Exact prefixes: only texts whose first (last) characters several different texts share take part.
+    They are range sorted, so a bucket of any size spreads over tasks; a text that is a prefix of others
+    stands right before one of them; the last of a part meets the first of the next.  Suffixes: the same
+    on reversed texts."""
     one_each = features.groupBy("text_key").agg(F.min(F.struct("rec_id", "item_no")).alias("r"), F.first("head").alias("head"), F.first("tail").alias("tail"))
     for sketch in ("head", "tail"):
-        shared = one_each.groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n")).where(f"{sketch}_n > 1")
+        shared = one_each.where(F.col(sketch).isNotNull()).groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n")).where(f"{sketch}_n > 1")
         one_each = one_each.join(shared, sketch, "left")
     some = one_each.where("head_n is not null or tail_n is not null").select("r.rec_id", "r.item_no", "text_key", "head", "tail", "head_n", "tail_n")
     ends = durable(texts.select("rec_id", "item_no", F.regexp_replace("text", r"^\s+|\s+$", "").alias("text")).join(some, ["rec_id", "item_no"]).dropDuplicates(["text_key"]))
@@ -281,10 +290,58 @@ def _aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
 
         made = durable(parts.mapInArrow(run, "part int, at int, sketch bigint, text_key bigint, sorted string"))
         edges = made.where("part is not null").repartition(1).sortWithinPartitions("part", "at")  # two rows for each part
-        keys = made.where("part is null").select("text_key").unionByName(edges.mapInArrow(meet, "text_key bigint")).distinct()
-        found = features.join(keys, "text_key", "left_semi").select("rec_id", "item_no", F.lit(mark).alias("side"))
+        found = made.where("part is null").select("text_key").unionByName(edges.mapInArrow(meet, "text_key bigint")).withColumn("mark", F.lit(mark))
         out = found if out is None else out.unionByName(found)
-    return out.groupBy("rec_id", "item_no").agg(F.bool_or(F.col("side") == "early").alias("early"), F.bool_or(F.col("side") == "late").alias("late"))
+    return out
+
+
+def _near_aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
+    """text_key, mark (early or late): the same for near-copies, texts with edits elsewhere.
+
+    Texts of equal band keys are candidates, each pair once; only texts whose end or beginning is open can
+    be the shorter side.  A pair must reach the similarity on its sets of five-word runs; then the shorter
+    text's last six words are looked up in the longer one, the last of them as a part of a word."""
+    open_ = F.when(F.col("kind").isin(*LOG_KINDS), F.lit(True)).otherwise((F.col("end_state") != 0) | (F.col("start_state") != 0))
+    keyed = features.where("size(bands) > 0").select("rec_id", "text_key", "size", open_.alias("open"), F.explode("bands").alias("band"))
+    short = keyed.where("open").select(F.col("rec_id").alias("a"), F.col("text_key").alias("key_a"), F.col("size").alias("size_a"), "band")
+    long = keyed.select(F.col("rec_id").alias("b"), F.col("text_key").alias("key_b"), F.col("size").alias("size_b"), "band")
+    pairs = durable(short.join(long, "band").where("size_a < size_b and size_a >= 0.6 * size_b and key_a <> key_b").select("a", "b", "key_a").distinct())
+    bare = texts.select("rec_id", F.regexp_replace("text", r"^\s+|\s+$", "").alias("text"))
+    left = pairs.join(bare.select(F.col("rec_id").alias("a"), F.col("text").alias("text_a")), "a")
+    both = left.join(bare.select(F.col("rec_id").alias("b"), F.col("text").alias("text_b")), "b").select("key_a", "text_a", "text_b")
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        hasher = WordHasher()
+        for batch in batches:
+            keys, marks = [], []
+            for key, a, b in zip(*(c.to_pylist() for c in batch.columns)):
+                for mark in _alignment(a, b, hasher):
+                    keys.append(key)
+                    marks.append(mark)
+            yield pa.RecordBatch.from_arrays([pa.array(keys, pa.int64()), pa.array(marks, pa.string())], names=["text_key", "mark"])
+
+    return both.mapInArrow(run, "text_key bigint, mark string")
+
+
+def _aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
+    """rec_id, item_no, early, late: what exact and near copies show."""
+    marks = _prefixes(texts, features).unionByName(_near_aligned(texts, features)).groupBy("text_key").agg(F.bool_or(F.col("mark") == "early").alias("early"), F.bool_or(F.col("mark") == "late").alias("late"))
+    return features.select("rec_id", "item_no", "text_key").join(marks, "text_key").drop("text_key")
+
+
+def _alignment(short: str, long: str, hasher: WordHasher) -> Iterator[str]:
+    """early and late, if the two texts are alike and the shorter one stops, or starts, inside a sentence of the longer."""
+    x, y = (np.unique(rolling(hasher(t.casefold().split()), RUN_WORDS)) for t in (short, long))
+    both = len(np.intersect1d(x, y, assume_unique=True))
+    if both < SIMILAR * (len(x) + len(y) - both):
+        return
+    for mark, turn in (("early", False), ("late", True)):
+        a, b = (short[::-1], long[::-1]) if turn else (short, long)
+        words = a.split()
+        closing = words[-RUN_WORDS - 1 :]
+        at = regex.compile(r"\s+".join(map(regex.escape, closing))).search(b)
+        if at and at.end() < len(b) and _inside(a, a + b[at.end() : at.end() + 2], turn):
+            yield mark
 
 
 def _inside(short: str, long: str, turned: bool) -> bool:
@@ -312,7 +369,7 @@ def cut_texts(texts: DataFrame) -> DataFrame:
 def _judged(texts: DataFrame) -> DataFrame:
     """rec_id, cut_start, cut_end of texts of which each is there once, with the number of its ``copies``."""
     made = durable(_features(texts))
-    features = made.where("tag = 0").select("rec_id", "item_no", "kind", "size", "end_state", "end_key", "start_state", "start_key", "whole_key", "head", "tail", "text_key", "line_key")
+    features = made.where("tag = 0").select("rec_id", "item_no", "kind", "size", "end_state", "end_key", "start_state", "start_key", "whole_key", "head", "tail", "text_key", "line_key", "run_key", "bands")
     counts = durable(made.where("tag = 1").groupBy(F.col("end_key").alias("key")).agg(F.sum("n_any").alias("n_any"), F.sum("n_first").alias("n_first"), F.sum("n_last").alias("n_last")))
     distinct = features.select("kind", "end_key", "start_key", "whole_key", "text_key").distinct()
     same = texts.select("rec_id", "copies")
@@ -323,7 +380,8 @@ def _judged(texts: DataFrame) -> DataFrame:
     end_counts = counts.select(F.col("key").alias("end_key"), F.col("n_any").alias("end_any"), F.col("n_last").alias("end_last"))
     start_counts = counts.select(F.col("key").alias("start_key"), F.col("n_any").alias("start_any"), F.col("n_first").alias("start_first"))
     line_counts = counts.select(F.col("key").alias("line_key"), F.col("n_any").alias("line_any"))
-    x = features.drop("head", "tail").join(line_counts, "line_key", "left")
+    run_counts = counts.select(F.col("key").alias("run_key"), F.col("n_any").alias("run_any"))
+    x = features.drop("head", "tail", "bands").join(line_counts, "line_key", "left").join(run_counts, "run_key", "left")
     x = x.join(end_counts.join(closes, "end_key"), "end_key", "left").join(start_counts.join(opens, "start_key"), "start_key", "left")
     x = x.join(wholes, "whole_key", "left").join(same, "rec_id").join(F.broadcast(kinds), "kind")  # a row for each kind
     x = x.join(_aligned(texts, features), ["rec_id", "item_no"], "left")
@@ -336,17 +394,23 @@ def _judged(texts: DataFrame) -> DataFrame:
     # Many copies speak for a whole log only if its last line closes logs and lines begun alike mostly end so too.
     stock_end = stock & (c("end_last") >= 0.5 * c("end_any")) & (c("line_any") < 2 * c("end_any"))
     few, few_opened = F.greatest(F.lit(3.0), FEW * F.col("n_texts")), F.greatest(F.lit(2.0), FEW * F.col("n_texts"))
-    end_log = ~((c("end_texts") >= typical) & (c("end_last") >= 0.5 * c("end_any")))
+    closing = (c("end_texts") >= typical) & (c("end_last") >= 0.5 * c("end_any"))
+    broken = (c("end_any") <= c("end_last")) | (c("run_any") == 0)  # no whole line is built so, or ends in this word
     end_prose = F.when(F.col("end_state") == 3, c("whole_texts") < few).otherwise((c("end_any") < 3) | (c("end_last") < 0.2 * c("end_any")))
-    cut_end = F.when(F.col("end_state") == 1, True).when(log & stock_end, False).when(log, end_log).when(F.col("end_state") == 0, False).otherwise(end_prose) | F.coalesce("early", F.lit(False))
+    early = F.coalesce("early", F.lit(False))
+    cut_end = F.when(F.col("end_state") == 1, True).when(log & (stock_end | closing), False).when(log, broken).when(F.col("end_state") == 0, False).otherwise(end_prose) | early
     start_log = (~seen_inside & ~(c("start_texts") >= typical)) | (seen_inside & (c("start_first") < 0.02 * c("start_any")))
     late = F.coalesce("late", F.lit(False)) & (log | (F.col("start_state") != 0))  # prose that begins with a capital or in Chinese may have been quoted whole behind a few words
     start_prose = (F.col("start_state") == 1) & (c("start_texts") < few_opened)
     cut_start = F.when(log & stock & ~seen_inside, False).when(log, start_log).otherwise(start_prose) | late
-    judged = durable(x.select("rec_id", "kind", "size", "text_key", (~log & (F.col("end_state") == 0)).alias("closed"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
+    # What a field limit makes a cut: prose with a closing sign, a log without a typical closing.
+    limited = F.when(log, ~closing & ~stock_end).otherwise(F.col("end_state") == 0)
+    judged = durable(x.select("rec_id", "kind", "size", "text_key", "start_key", (log & closing).alias("closing"), (log & ~closing & ~stock_end).alias("unclosed"), limited.alias("limited"), typical.alias("typical"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
+    framed = judged.where("closing or unclosed").groupBy("start_key").agg(F.count(F.lit(1)).alias("n"), F.count_if("closing").alias("n_closing"), F.max("typical").alias("typical")).where((F.col("n") >= F.col("typical")) & (F.col("n_closing") >= FRAMED * F.col("n"))).select("start_key", F.lit(True).alias("framed"))
     limits = _limits(judged.withColumn("cut", F.col("cut_start") | F.col("cut_end")))
-    full = judged.join(limits, ["kind", "size"], "left")
-    return full.select("rec_id", "cut_start", (F.col("cut_end") | (F.col("closed") & F.coalesce("at_limit", F.lit(False)))).alias("cut_end"))
+    full = judged.join(limits, ["kind", "size"], "left").join(framed, "start_key", "left")
+    more = (F.col("limited") & F.coalesce("at_limit", F.lit(False))) | (F.col("unclosed") & F.coalesce("framed", F.lit(False)))
+    return full.select("rec_id", "cut_start", (F.col("cut_end") | more).alias("cut_end"))
 
 
 def message_texts(sessions: DataFrame, record: str, roles: tuple = ("user", "assistant", "tool")) -> DataFrame:
