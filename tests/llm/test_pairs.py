@@ -25,6 +25,19 @@ def test_pair_defect(question, answer, want):
     assert P.pair_defect(question, answer) == want
 
 
+@pytest.mark.parametrize(
+    ("question", "answer", "want"),
+    [
+        ("Hallo", "hallo", "echo"), ("why", "Why", "echo"), ("why", "yes", None), ("ok go", "done", None), ("a", "b", None), ("", "a", None),
+        ("why does it fail? " * 400, "Why does it fail? " * 400, "echo"), ("word " * 3000 + "why?", "It waits for the lock.", None),
+        (Q, "I can't help with that request. " * 50, "refusal"), (Q, "I can't help with that request. " * 50 + "The cause is the lock in the reader.", None),
+        (Q, " ".join(f"Step {k} of the change moves the lock before the loop in the reader." for k in range(2000)), None),
+    ],
+)
+def test_length_decides_nothing(question, answer, want):
+    assert P.pair_defect(question, answer) == want
+
+
 def test_tool_defects_and_places(spark, sessions):
     good = "The reader takes the lock too late, so move it before the loop."
     rows = [

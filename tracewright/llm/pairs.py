@@ -53,16 +53,15 @@ _ASKS = regex.compile(
     r"\b(?:in|into|to|auf|ins|en|al|à|vers)\s+(?:the\s+|la\s+|le\s+)?(?:english|german|french|spanish|chinese|mandarin|englisch\w*|deutsch\w*|französisch\w*|spanisch\w*|chinesisch\w*|inglés|alemán|francés|español|chino|anglais|allemand|français|espagnol|chinois)\b|(?:用|以|成|译成)\s*(?:中文|汉语|英文|英语|德语|德文|法语|法文|西班牙语)|\btranslat|\bübersetz|\btraduc|\btradui|翻译",
     regex.I,
 )
-LONGEST_REFUSAL = 1000
+#: What zstandard needs for a block that the dictionary explains wholly, and for an empty frame.
+BLOCK, FRAME = 6, 9
 
 
 def is_refusal(answer: str) -> bool:
-    """Every sentence refuses or is filler, and at least one refuses."""
-    if len(answer) > LONGEST_REFUSAL:
-        return False
+    """Every sentence refuses or is filler, and at least one refuses; texts of any length."""
     refused = False
-    for sentence in _SENTENCE.findall(answer.replace("’", "'")):
-        sentence = sentence.strip()
+    for found in _SENTENCE.finditer(answer.replace("’", "'")):
+        sentence = found[0].strip()
         if not sentence or not any(c.isalnum() for c in sentence):
             continue
         if _REFUSAL.search(sentence) and not _CODE.search(sentence):
@@ -77,18 +76,21 @@ def _plain(text: str) -> str:
 
 
 def is_echo(question: str, answer: str, explained: float = 0.6, covered: float = 0.7) -> bool:
-    """Whether the answer is the question again, at most framed or slightly changed."""
+    """Whether the answer is the question again, at most framed or slightly changed; texts of any length.
+
+    The question as a dictionary must leave ``explained`` of the compressed answer at most (or no more than
+    the bare block), ``covered`` of the answer's letter groups must be the question's, and half of the
+    question's groups the answer's."""
     import zstandard
 
     q, a = _plain(question), _plain(answer)
-    if len(a) < 12 or len(a) > 1.6 * len(q) + 40 or len(q) > 3 * len(a):
-        return False
-    raw_q, raw_a = q.encode(), a.encode()
-    alone = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw_a))
-    given = len(zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=zstandard.ZstdCompressionDict(raw_q, dict_type=zstandard.DICT_TYPE_RAWCONTENT)).compress(raw_a)) if len(raw_q) >= 8 else alone
-    if given > explained * alone:
+    raw_q, raw_a = q.encode("utf-8", "surrogatepass"), a.encode("utf-8", "surrogatepass")
+    alone = len(zstandard.ZstdCompressor(level=3, write_content_size=False).compress(raw_a)) - FRAME
+    known = zstandard.ZstdCompressionDict(raw_q * (1 + BLOCK // max(1, len(raw_q))) + b"  ", dict_type=zstandard.DICT_TYPE_RAWCONTENT)  # a dictionary has eight bytes at least
+    given = len(zstandard.ZstdCompressor(level=3, write_content_size=False, dict_data=known).compress(raw_a)) - FRAME
+    if given > max(explained * alone, BLOCK):
         return False
-    grams_q, grams_a = {q[k : k + 4] for k in range(len(q) - 3)}, {a[k : k + 4] for k in range(len(a) - 3)}
+    grams_q, grams_a = ({t[k : k + 4] for k in range(max(1, len(t) - 3))} for t in (q, a))
     both = len(grams_q & grams_a)
     return both >= covered * len(grams_a) and both >= 0.5 * len(grams_q)
 
