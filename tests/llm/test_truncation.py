@@ -1,6 +1,7 @@
 import random
 
 import pytest
+from pyspark.sql import functions as F
 
 from tracewright.llm import truncation as T
 
@@ -98,8 +99,10 @@ def test_a_near_copy_with_an_edited_opening_shows_the_cut(spark):
     lost = " ".join(words[6:50] + ["other"] + words[51:]) + "."
     rows = [(k, 0, "assistant", f"Sentence number {k} of the reader ends here.") for k in range(50)] + [(100, 0, "assistant", long), (101, 0, "assistant", edited), (102, 0, "assistant", open_end), (103, 0, "assistant", lost)]
     texts = spark.createDataFrame(rows, "rec_id bigint, item_no int, kind string, text string")
-    got = T._aligned(texts, T._features(texts).where("tag = 0")).collect()
-    assert {r.rec_id for r in got if r.early} == {102} and {r.rec_id for r in got if r.late} == {103}
+    features = T._features(texts).where("tag = 0").withColumn("open", F.col("rec_id") > 100)
+    pairs = T._near_pairs(features)
+    keys = {r.text_key: r.rec_id for r in features.select("text_key", "rec_id").collect()}
+    assert {(keys[r.text_key], r.mark) for r in T._near_aligned(T._ends(texts, features, pairs), pairs).collect()} == {(102, "early"), (103, "late")}
     assert {r.rec_id for r in T.cut_texts(texts).where("cut_end").collect()} == {102}
 
 

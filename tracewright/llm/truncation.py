@@ -14,6 +14,7 @@ by joins.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -40,7 +41,7 @@ _IDENT = regex.compile(r"[\w./\-]*[/_][\w./\-]*|\p{Lu}\p{Ll}+\p{Lu}\w*|\d+(?:\.\
 _LIST = regex.compile(r"^(?:[-*+•]|\d+[.)])\s")
 EXTENSION = regex.compile(r"\.(\w+)([^\w]*)$")
 _CODE_ONLY = regex.compile(r"^(?:`[^`\n]+`|\x60{3}.*\x60{3})$", regex.S)
-_LAST_RUN = regex.compile(r"([\p{L}]+|\d+)[^\p{L}\d]*$")
+_LAST_RUN = re.compile(r"(?:[^\W\d_]+|\d+)(?=[\W_]*$)")
 LOG_KINDS = frozenset({"tool", "stderr"})
 #: Exact copies: a prefix or suffix proves nothing unless so many characters agree.
 HEAD_CHARS = 40
@@ -82,12 +83,12 @@ def _opening(text: str, cache: dict[str, str]) -> str:
 
 
 class _Counter:
-    """n_any, n_first and n_last of hashed keys, given out when a bound is reached."""
+    """n_any, n_first and n_last of keys, given out, hashed, when a bound is reached."""
 
     def __init__(self, most: int = 300_000):
         self.most, self.at = most, {}
 
-    def add(self, key: int, first: int = 0, last: int = 0) -> None:
+    def add(self, key: str, first: int = 0, last: int = 0) -> None:
         got = self.at.get(key)
         if got is None:
             self.at[key] = [1, first, last]
@@ -133,11 +134,11 @@ def _features(texts: DataFrame) -> DataFrame:
         counts = _Counter()
         hasher = WordHasher()
 
-        def name(*parts: str) -> int:
-            return xxhash.xxh64_intdigest("\x1f".join(parts).encode("utf-8", "surrogatepass")) - (1 << 63)
+        def name(key: str) -> int:
+            return xxhash.xxh64_intdigest(key.encode("utf-8", "surrogatepass")) - (1 << 63)
 
         def flush() -> pa.RecordBatch:
-            keys = list(counts.at)
+            keys = [name(k) for k in counts.at]
             v = list(counts.at.values())
             counts.at = {}
             none = [None] * len(keys)
@@ -164,29 +165,30 @@ def _features(texts: DataFrame) -> DataFrame:
                         if not parts:
                             continue
                         a = _mask(parts[0], cache)
-                        closing = name("c", kind, a, _mask(parts[-1], cache), str(len(parts)))
+                        closing = f"c\x1f{kind}\x1f{a}\x1f{_mask(parts[-1], cache)}\x1f{len(parts)}"
                         counts.add(closing, 0, int(k == n - 1))
-                        begun = name("f", kind, a)
+                        begun = f"f\x1f{kind}\x1f{a}"
                         counts.add(begun)
-                        last_run = _LAST_RUN.search(line)
-                        run = name("v", kind, _DIGITS.sub("N", last_run[1].casefold()) if last_run else "")
+                        last = _LAST_RUN.search(parts[-1])
+                        run = "" if last is None else "N" if last[0].isdigit() else last[0].casefold()
+                        run = f"v\x1f{kind}\x1f{run}"
                         if k == n - 1:
-                            end_key, line_key, run_key = closing, begun, run
+                            end_key, line_key, run_key = name(closing), name(begun), name(run)
                         else:
                             counts.add(run)  # words that close whole lines
                         second = _mask(parts[1], cache) if len(parts) > 1 else ""
-                        opening = name("o", kind, "P" if a[:2] == "P." else a, "P" if second[:2] == "P." else second)
+                        opening = f"o\x1f{kind}\x1f{'P' if a[:2] == 'P.' else a}\x1f{'P' if second[:2] == 'P.' else second}"
                         counts.add(opening, int(k == 0), 0)
                         if k == 0:
-                            start_key = opening
+                            start_key = name(opening)
                     end_state, start_state, whole = (1 if marked else 2), 2, 0  # logs are judged by lines, not by whole patterns
                 else:
                     open_fence = bool(bare.count("```") % 2) and not bare.endswith("```") and (_FENCE_OPEN.search(bare[bare.rindex("```") :]) is not None or not _CLOSED.search(last_line))
-                    whole = name("w", kind, _IDENT.sub("X", low))
-                    line_key = run_key = 0
+                    whole = line_key = run_key = 0
                     item_line = bool(_LIST.match(last_line))
                     last = _mask(last_line.rsplit(None, 1)[-1], cache)
-                    end_key = name("c", kind, "l" if item_line else "p", last)
+                    closing = f"c\x1f{kind}\x1f{'l' if item_line else 'p'}\x1f{last}"
+                    end_key = name(closing)
                     if marked or open_fence:
                         end_state = 1
                     elif _CODE_ONLY.search(bare):
@@ -201,14 +203,15 @@ def _features(texts: DataFrame) -> DataFrame:
                         end_state = 2
                     else:
                         end_state = 3
+                        whole = name(f"w\x1f{kind}\x1f{_IDENT.sub('X', low)}")  # texts of equal patterns end alike
                     for line in lines[:-1]:
                         if _LIST.match(line):
-                            counts.add(name("c", kind, "l", _mask(line.rsplit(None, 1)[-1], cache)), 0, 1)
+                            counts.add(f"c\x1f{kind}\x1fl\x1f{_mask(line.rsplit(None, 1)[-1], cache)}", 0, 1)
                     if item_line:
-                        counts.add(end_key, 0, 0)
-                    opener = _opening(low, cache)
-                    start_key = name("o", "prose", opener)
-                    counts.add(start_key, 1, 0)
+                        counts.add(closing, 0, 0)
+                    opening = f"o\x1fprose\x1f{_opening(low, cache)}"
+                    start_key = name(opening)
+                    counts.add(opening, 1, 0)
                     first = bare[0]
                     if not first.isalpha() or first.isupper() or "一" <= first <= "鿿":
                         start_state = 0
@@ -216,8 +219,8 @@ def _features(texts: DataFrame) -> DataFrame:
                         start_state = 2
                     else:
                         start_state = 1
-                head, tail = (name("h", low[:HEAD_CHARS]), name("t", low[-HEAD_CHARS:])) if len(low) >= HEAD_CHARS else (None, None)
-                out.append([0, rec, item, kind, len(text), end_state, end_key, start_state, start_key, whole, head, tail, name("t", bare), line_key, run_key, None, None, None, None])
+                head, tail = (name("h" + low[:HEAD_CHARS]), name("t" + low[-HEAD_CHARS:])) if len(low) >= HEAD_CHARS else (None, None)
+                out.append([0, rec, item, kind, len(text), end_state, end_key, start_state, start_key, whole, head, tail, name("t\x1f" + bare), line_key, run_key, None, None, None, None])
             if out:
                 cols = [list(c) for c in zip(*out)]
                 cols[15] = _bands(hashed)
@@ -241,19 +244,26 @@ def _limits(judged: DataFrame) -> DataFrame:
     return spiking.select("kind", "size", F.lit(True).alias("at_limit"))
 
 
-def _prefixes(texts: DataFrame, features: DataFrame) -> DataFrame:
+def _ends(texts: DataFrame, features: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
+    """The texts that copies are sought for: those whose first or last characters several different texts
+    share (with these keys), and those of near-copy pairs.  All texts are shuffled for it, once."""
+    one_each = features.groupBy("text_key").agg(F.min("rec_id").alias("rec_id"), F.first("head").alias("head"), F.first("tail").alias("tail"))
+    for sketch in ("head", "tail"):
+        shared = one_each.where(F.col(sketch).isNotNull()).groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n")).where(f"{sketch}_n > 1")
+        one_each = one_each.join(shared, sketch, "left")
+    wanted = one_each.where("head_n is not null or tail_n is not null").select("rec_id", "text_key", "head", "tail", "head_n", "tail_n")
+    if pairs is not None:
+        ids = pairs.select(F.explode(F.array("a", "b")).alias("rec_id")).distinct()
+        wanted = wanted.unionByName(ids, allowMissingColumns=True).groupBy("rec_id").agg(*[F.max(c).alias(c) for c in wanted.columns[1:]])
+    return durable(texts.select("rec_id", F.regexp_replace("text", r"^\s+|\s+$", "").alias("text")).join(wanted, "rec_id"))
+
+
+def _prefixes(ends: DataFrame) -> DataFrame:
     """text_key, mark (early or late): texts that a longer text shows to end, or begin, inside a sentence.
 
-    Exact prefixes: only texts whose first (last) characters several different texts share take part.
     They are range sorted, so a bucket of any size spreads over tasks; a text that is a prefix of others
     stands right before one of them; the last of a part meets the first of the next.  Suffixes: the same
     on reversed texts."""
-    one_each = features.groupBy("text_key").agg(F.min(F.struct("rec_id", "item_no")).alias("r"), F.first("head").alias("head"), F.first("tail").alias("tail"))
-    for sketch in ("head", "tail"):
-        shared = one_each.where(F.col(sketch).isNotNull()).groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n")).where(f"{sketch}_n > 1")
-        one_each = one_each.join(shared, sketch, "left")
-    some = one_each.where("head_n is not null or tail_n is not null").select("r.rec_id", "r.item_no", "text_key", "head", "tail", "head_n", "tail_n")
-    ends = durable(texts.select("rec_id", "item_no", F.regexp_replace("text", r"^\s+|\s+$", "").alias("text")).join(some, ["rec_id", "item_no"]).dropDuplicates(["text_key"]))
     edge, kinds = ["part", "at", "sketch", "text_key", "sorted"], [pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.string()]
     out = None
     for sketch, mark, turn in (("head", "early", False), ("tail", "late", True)):
@@ -295,18 +305,23 @@ def _prefixes(texts: DataFrame, features: DataFrame) -> DataFrame:
     return out
 
 
-def _near_aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
-    """text_key, mark (early or late): the same for near-copies, texts with edits elsewhere.
+def _near_pairs(features: DataFrame) -> DataFrame:
+    """a, b, key_a: candidates for near-copies, texts of equal band keys, each pair once, a the shorter.
 
-    Texts of equal band keys are candidates, each pair once; only texts whose end or beginning is open can
-    be the shorter side.  A pair must reach the similarity on its sets of five-word runs; then the shorter
-    text's last six words are looked up in the longer one, the last of them as a part of a word."""
-    open_ = F.when(F.col("kind").isin(*LOG_KINDS), F.lit(True)).otherwise((F.col("end_state") != 0) | (F.col("start_state") != 0))
-    keyed = features.where("size(bands) > 0").select("rec_id", "text_key", "size", open_.alias("open"), F.explode("bands").alias("band"))
+    features: rows with ``open``, whether the text's end or beginning is undecided; only such a text is
+    looked up."""
+    keyed = features.where("size(bands) > 0").select("rec_id", "text_key", "size", "open", F.explode("bands").alias("band"))
     short = keyed.where("open").select(F.col("rec_id").alias("a"), F.col("text_key").alias("key_a"), F.col("size").alias("size_a"), "band")
     long = keyed.select(F.col("rec_id").alias("b"), F.col("text_key").alias("key_b"), F.col("size").alias("size_b"), "band")
-    pairs = durable(short.join(long, "band").where("size_a < size_b and size_a >= 0.6 * size_b and key_a <> key_b").select("a", "b", "key_a").distinct())
-    bare = texts.select("rec_id", F.regexp_replace("text", r"^\s+|\s+$", "").alias("text"))
+    return durable(short.join(long, "band").where("size_a < size_b and key_a <> key_b").select("a", "b", "key_a").distinct())
+
+
+def _near_aligned(ends: DataFrame, pairs: DataFrame) -> DataFrame:
+    """text_key, mark (early or late): the same for near-copies, texts with edits elsewhere.
+
+    A pair must reach the similarity on its sets of five-word runs; then the shorter text's last six words
+    are looked up in the longer one, the last of them as a part of a word."""
+    bare = ends.select("rec_id", "text")
     left = pairs.join(bare.select(F.col("rec_id").alias("a"), F.col("text").alias("text_a")), "a")
     both = left.join(bare.select(F.col("rec_id").alias("b"), F.col("text").alias("text_b")), "b").select("key_a", "text_a", "text_b")
 
@@ -324,9 +339,12 @@ def _near_aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
 
 
 def _aligned(texts: DataFrame, features: DataFrame) -> DataFrame:
-    """rec_id, item_no, early, late: what exact and near copies show."""
-    marks = _prefixes(texts, features).unionByName(_near_aligned(texts, features)).groupBy("text_key").agg(F.bool_or(F.col("mark") == "early").alias("early"), F.bool_or(F.col("mark") == "late").alias("late"))
-    return features.select("rec_id", "item_no", "text_key").join(marks, "text_key").drop("text_key")
+    """rec_id, item_no, early, late: what exact copies show."""
+    return features.select("rec_id", "item_no", "text_key").join(_by_side(_prefixes(_ends(texts, features))), "text_key").drop("text_key")
+
+
+def _by_side(marks: DataFrame) -> DataFrame:
+    return marks.groupBy("text_key").agg(F.bool_or(F.col("mark") == "early").alias("early"), F.bool_or(F.col("mark") == "late").alias("late"))
 
 
 def _alignment(short: str, long: str, hasher: WordHasher) -> Iterator[str]:
@@ -381,10 +399,9 @@ def _judged(texts: DataFrame) -> DataFrame:
     start_counts = counts.select(F.col("key").alias("start_key"), F.col("n_any").alias("start_any"), F.col("n_first").alias("start_first"))
     line_counts = counts.select(F.col("key").alias("line_key"), F.col("n_any").alias("line_any"))
     run_counts = counts.select(F.col("key").alias("run_key"), F.col("n_any").alias("run_any"))
-    x = features.drop("head", "tail", "bands").join(line_counts, "line_key", "left").join(run_counts, "run_key", "left")
+    x = features.join(line_counts, "line_key", "left").join(run_counts, "run_key", "left")
     x = x.join(end_counts.join(closes, "end_key"), "end_key", "left").join(start_counts.join(opens, "start_key"), "start_key", "left")
     x = x.join(wholes, "whole_key", "left").join(same, "rec_id").join(F.broadcast(kinds), "kind")  # a row for each kind
-    x = x.join(_aligned(texts, features), ["rec_id", "item_no"], "left")
     log = F.col("kind").isin(*LOG_KINDS)
     typical = F.greatest(F.lit(2.0), TYPICAL * F.col("n_texts"))
     c = lambda name: F.coalesce(F.col(name), F.lit(0))
@@ -397,15 +414,24 @@ def _judged(texts: DataFrame) -> DataFrame:
     closing = (c("end_texts") >= typical) & (c("end_last") >= 0.5 * c("end_any"))
     broken = (c("end_any") <= c("end_last")) | (c("run_any") == 0)  # no whole line is built so, or ends in this word
     end_prose = F.when(F.col("end_state") == 3, c("whole_texts") < few).otherwise((c("end_any") < 3) | (c("end_last") < 0.2 * c("end_any")))
-    early = F.coalesce("early", F.lit(False))
-    cut_end = F.when(F.col("end_state") == 1, True).when(log & (stock_end | closing), False).when(log, broken).when(F.col("end_state") == 0, False).otherwise(end_prose) | early
+    cut_end = F.when(F.col("end_state") == 1, True).when(log & (stock_end | closing), False).when(log, broken).when(F.col("end_state") == 0, False).otherwise(end_prose)
     start_log = (~seen_inside & ~(c("start_texts") >= typical)) | (seen_inside & (c("start_first") < 0.02 * c("start_any")))
-    late = F.coalesce("late", F.lit(False)) & (log | (F.col("start_state") != 0))  # prose that begins with a capital or in Chinese may have been quoted whole behind a few words
     start_prose = (F.col("start_state") == 1) & (c("start_texts") < few_opened)
-    cut_start = F.when(log & stock & ~seen_inside, False).when(log, start_log).otherwise(start_prose) | late
+    cut_start = F.when(log & stock & ~seen_inside, False).when(log, start_log).otherwise(start_prose)
     # What a field limit makes a cut: prose with a closing sign, a log without a typical closing.
     limited = F.when(log, ~closing & ~stock_end).otherwise(F.col("end_state") == 0)
-    judged = durable(x.select("rec_id", "kind", "size", "text_key", "start_key", (log & closing).alias("closing"), (log & ~closing & ~stock_end).alias("unclosed"), limited.alias("limited"), typical.alias("typical"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
+    closed_end = F.when(log, closing | stock_end).otherwise(F.col("end_state") == 0)
+    closed_start = F.when(log, c("start_texts") >= typical).otherwise(F.col("start_state") == 0)
+    open_ = ~(cut_start | cut_end) & ~(closed_end & closed_start)
+    prose_start = ~log & (F.col("start_state") == 0)  # prose that begins with a capital or in Chinese may have been quoted whole behind a few words
+    decided = durable(x.select("rec_id", "kind", "size", "text_key", "start_key", "head", "tail", "bands", open_.alias("open"), (log & closing).alias("closing"), (log & ~closing & ~stock_end).alias("unclosed"), limited.alias("limited"), closed_end.alias("closed_end"), closed_start.alias("closed_start"), prose_start.alias("prose_start"), typical.alias("typical"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
+    pairs = _near_pairs(decided)
+    ends = _ends(texts, decided, pairs)
+    exact, near = (_by_side(m).select("text_key", F.col("early").alias(f"{n}_early"), F.col("late").alias(f"{n}_late")) for n, m in (("exact", _prefixes(ends)), ("near", _near_aligned(ends, pairs))))
+    t = lambda name: F.coalesce(F.col(name), F.lit(False))
+    shown = decided.drop("head", "tail", "bands").join(exact, "text_key", "left").join(near, "text_key", "left")
+    shown = shown.withColumn("cut_end", F.col("cut_end") | t("exact_early") | (t("near_early") & ~F.col("closed_end")))
+    judged = durable(shown.withColumn("cut_start", F.col("cut_start") | (t("exact_late") & ~F.col("prose_start")) | (t("near_late") & ~F.col("closed_start"))).drop("exact_early", "exact_late", "near_early", "near_late"))
     framed = judged.where("closing or unclosed").groupBy("start_key").agg(F.count(F.lit(1)).alias("n"), F.count_if("closing").alias("n_closing"), F.max("typical").alias("typical")).where((F.col("n") >= F.col("typical")) & (F.col("n_closing") >= FRAMED * F.col("n"))).select("start_key", F.lit(True).alias("framed"))
     limits = _limits(judged.withColumn("cut", F.col("cut_start") | F.col("cut_end")))
     full = judged.join(limits, ["kind", "size"], "left").join(framed, "start_key", "left")
