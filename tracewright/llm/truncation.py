@@ -246,10 +246,13 @@ def _limits(judged: DataFrame) -> DataFrame:
 
 def _ends(texts: DataFrame, features: DataFrame, pairs: DataFrame | None = None) -> DataFrame:
     """The texts that copies are sought for: those whose first or last characters several different texts
-    share (with these keys), and those of near-copy pairs.  All texts are shuffled for it, once."""
-    one_each = features.groupBy("text_key").agg(F.min("rec_id").alias("rec_id"), F.first("head").alias("head"), F.first("tail").alias("tail"))
-    for sketch in ("head", "tail"):
-        shared = one_each.where(F.col(sketch).isNotNull()).groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n")).where(f"{sketch}_n > 1")
+    share (with these keys), and those of near-copy pairs.  All texts are shuffled for it, once.
+
+    features may say with ``may_end`` and ``may_start`` which texts are undecided; buckets without any are left out."""
+    flag = lambda name: F.bool_or(F.col(name) if name in features.columns else F.lit(True)).alias(name)
+    one_each = features.groupBy("text_key").agg(F.min("rec_id").alias("rec_id"), F.first("head").alias("head"), F.first("tail").alias("tail"), flag("may_end"), flag("may_start"))
+    for sketch, may in (("head", "may_end"), ("tail", "may_start")):
+        shared = one_each.where(F.col(sketch).isNotNull()).groupBy(sketch).agg(F.count(F.lit(1)).alias(f"{sketch}_n"), F.bool_or(may).alias("asked")).where(f"asked and {sketch}_n > 1").drop("asked")
         one_each = one_each.join(shared, sketch, "left")
     wanted = one_each.where("head_n is not null or tail_n is not null").select("rec_id", "text_key", "head", "tail", "head_n", "tail_n")
     if pairs is not None:
@@ -306,14 +309,15 @@ def _prefixes(ends: DataFrame) -> DataFrame:
 
 
 def _near_pairs(features: DataFrame) -> DataFrame:
-    """a, b, key_a: candidates for near-copies, texts of equal band keys, each pair once, a the shorter.
+    """a, b, key_a: candidates for near-copies, texts of two or more equal band keys, each pair once, a the
+    shorter.  Of pairs of just the wanted similarity 0.995 have two.
 
     features: rows with ``open``, whether the text's end or beginning is undecided; only such a text is
     looked up."""
     keyed = features.where("size(bands) > 0").select("rec_id", "text_key", "size", "open", F.explode("bands").alias("band"))
     short = keyed.where("open").select(F.col("rec_id").alias("a"), F.col("text_key").alias("key_a"), F.col("size").alias("size_a"), "band")
     long = keyed.select(F.col("rec_id").alias("b"), F.col("text_key").alias("key_b"), F.col("size").alias("size_b"), "band")
-    return durable(short.join(long, "band").where("size_a < size_b and key_a <> key_b").select("a", "b", "key_a").distinct())
+    return durable(short.join(long, "band").where("size_a < size_b and key_a <> key_b").groupBy("a", "b", "key_a").agg(F.count(F.lit(1)).alias("n")).where("n > 1").drop("n"))
 
 
 def _near_aligned(ends: DataFrame, pairs: DataFrame) -> DataFrame:
@@ -399,7 +403,7 @@ def _judged(texts: DataFrame) -> DataFrame:
     start_counts = counts.select(F.col("key").alias("start_key"), F.col("n_any").alias("start_any"), F.col("n_first").alias("start_first"))
     line_counts = counts.select(F.col("key").alias("line_key"), F.col("n_any").alias("line_any"))
     run_counts = counts.select(F.col("key").alias("run_key"), F.col("n_any").alias("run_any"))
-    x = features.join(line_counts, "line_key", "left").join(run_counts, "run_key", "left")
+    x = features.drop("head", "tail", "bands").join(line_counts, "line_key", "left").join(run_counts, "run_key", "left")
     x = x.join(end_counts.join(closes, "end_key"), "end_key", "left").join(start_counts.join(opens, "start_key"), "start_key", "left")
     x = x.join(wholes, "whole_key", "left").join(same, "rec_id").join(F.broadcast(kinds), "kind")  # a row for each kind
     log = F.col("kind").isin(*LOG_KINDS)
@@ -424,12 +428,14 @@ def _judged(texts: DataFrame) -> DataFrame:
     closed_start = F.when(log, c("start_texts") >= typical).otherwise(F.col("start_state") == 0)
     open_ = ~(cut_start | cut_end) & ~(closed_end & closed_start)
     prose_start = ~log & (F.col("start_state") == 0)  # prose that begins with a capital or in Chinese may have been quoted whole behind a few words
-    decided = durable(x.select("rec_id", "kind", "size", "text_key", "start_key", "head", "tail", "bands", open_.alias("open"), (log & closing).alias("closing"), (log & ~closing & ~stock_end).alias("unclosed"), limited.alias("limited"), closed_end.alias("closed_end"), closed_start.alias("closed_start"), prose_start.alias("prose_start"), typical.alias("typical"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
-    pairs = _near_pairs(decided)
-    ends = _ends(texts, decided, pairs)
+    decided = durable(x.select("rec_id", "kind", "size", "text_key", "start_key", open_.alias("open"), (log & closing).alias("closing"), (log & ~closing & ~stock_end).alias("unclosed"), limited.alias("limited"), closed_end.alias("closed_end"), closed_start.alias("closed_start"), prose_start.alias("prose_start"), typical.alias("typical"), cut_start.alias("cut_start"), cut_end.alias("cut_end")))
+    asked = decided.select("rec_id", "open", (~F.col("cut_end") & ~F.col("closing")).alias("may_end"), (~F.col("cut_start") & ~F.col("prose_start") & ~(F.col("closed_start") & F.col("kind").isin(*LOG_KINDS))).alias("may_start"))
+    shapes = features.select("rec_id", "text_key", "size", "bands", "head", "tail").join(asked, "rec_id")
+    pairs = _near_pairs(shapes)
+    ends = _ends(texts, shapes, pairs)
     exact, near = (_by_side(m).select("text_key", F.col("early").alias(f"{n}_early"), F.col("late").alias(f"{n}_late")) for n, m in (("exact", _prefixes(ends)), ("near", _near_aligned(ends, pairs))))
     t = lambda name: F.coalesce(F.col(name), F.lit(False))
-    shown = decided.drop("head", "tail", "bands").join(exact, "text_key", "left").join(near, "text_key", "left")
+    shown = decided.join(exact, "text_key", "left").join(near, "text_key", "left")
     shown = shown.withColumn("cut_end", F.col("cut_end") | t("exact_early") | (t("near_early") & ~F.col("closed_end")))
     judged = durable(shown.withColumn("cut_start", F.col("cut_start") | (t("exact_late") & ~F.col("prose_start")) | (t("near_late") & ~F.col("closed_start"))).drop("exact_early", "exact_late", "near_early", "near_late"))
     framed = judged.where("closing or unclosed").groupBy("start_key").agg(F.count(F.lit(1)).alias("n"), F.count_if("closing").alias("n_closing"), F.max("typical").alias("typical")).where((F.col("n") >= F.col("typical")) & (F.col("n_closing") >= FRAMED * F.col("n"))).select("start_key", F.lit(True).alias("framed"))
