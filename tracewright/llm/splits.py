@@ -1,8 +1,10 @@
 """Problem 6: train, validation and test splits that keep related records together.
 
-Rows and the entities they name (a replayed task, a group key) form a bipartite graph.  Its components
-come from random-mate contraction; whole components are then placed by cumulative weight, so that each
-source comes as near to the wanted proportions as its components allow.
+Rows, the spellings of their groups, task prompts, group keys and tasks form a graph: a row touches its
+spelling or the prompts it holds, a spelling the task (or group key) it names, a prompt its tasks.  The
+components come from random-mate contraction.  A row's task is the task of its component; whole components
+are placed by cumulative weight, so that each source comes as near to the wanted proportions as its
+components allow.
 """
 
 from __future__ import annotations
@@ -22,7 +24,6 @@ from tracewright.session import bounded_collect, clean_label, durable, ensure_sm
 TASK_ID = r"(?:^|[^0-9a-z])([a-z]{2})[^0-9a-z]*([0-9a-f]{12})(?:[^0-9a-z]|$)"
 MAX_TASKS = 200_000
 BINS = 4096
-ALL_BINS = 16_384
 SPLITS = (("train", 0.8), ("validation", 0.1), ("test", 0.1))
 
 
@@ -42,15 +43,14 @@ def plain_key(col: Column) -> Column:
     return F.nullif(F.regexp_replace(F.lower(col), r"[^\p{L}\p{N}]+", ""), F.lit(""))
 
 
-def prompt_tasks(asked: DataFrame, tasks: DataFrame) -> DataFrame:
-    """(sample_id, task_id) where the first user text holds the task's prompt.
+def prompt_hits(asked: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(sample_id, prompt) where the first user text holds a task's prompt, named by its hash.
 
     asked: sample_id, text (squeezed).  All prompts run over a text in one pass of an automaton; their
     table is held on every executor and its size is checked.  Tasks without a prompt match nothing."""
-    rows = bounded_collect(tasks.select("id", squeezed(F.col("prompt")).alias("p")).where("id is not null and length(p) > 0"), MAX_TASKS, "tasks")
-    ids_of: dict[str, list[str]] = {}
-    for r in rows:
-        ids_of.setdefault(r.p, []).append(r.id)
+    prompts = squeezed(F.col("prompt"))
+    rows = bounded_collect(tasks.select(prompts.alias("p"), F.xxhash64(prompts).alias("h")).where("length(p) > 0").distinct(), MAX_TASKS, "task prompts")
+    ids_of = {r.p: r.h for r in rows}
     ensure_small(sum(4 * len(p) for p in ids_of), "task prompts")
     shared = asked.sparkSession.sparkContext.broadcast(ids_of)
 
@@ -58,96 +58,126 @@ def prompt_tasks(asked: DataFrame, tasks: DataFrame) -> DataFrame:
         import ahocorasick
 
         automaton = ahocorasick.Automaton()
-        for p, ids in shared.value.items():
-            automaton.add_word(p, ids)
+        for p, h in shared.value.items():
+            automaton.add_word(p, h)
         if shared.value:
             automaton.make_automaton()
         for batch in batches:
-            sample, task = [], []
+            sample, prompt = [], []
             if shared.value:
                 for rec, text in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist()):
-                    hits = {i for _, ids in automaton.iter(text) for i in ids}
+                    hits = {h for _, h in automaton.iter(text)}
                     sample.extend([rec] * len(hits))
-                    task.extend(hits)
-            yield pa.RecordBatch.from_arrays([pa.array(sample, pa.int64()), pa.array(task, pa.string())], names=["sample_id", "task_id"])
+                    prompt.extend(hits)
+            yield pa.RecordBatch.from_arrays([pa.array(sample, pa.int64()), pa.array(prompt, pa.int64())], names=["sample_id", "prompt"])
 
-    return asked.where("text is not null and text <> ''").select("sample_id", "text").mapInArrow(run, "sample_id bigint, task_id string")
+    return asked.where("text is not null and text <> ''").select("sample_id", "text").mapInArrow(run, "sample_id bigint, prompt bigint")
 
 
-def task_links(sessions: DataFrame, tasks: DataFrame) -> DataFrame:
-    """(sample_id, task_id): the group names the task, or the group is null and the first user message holds its prompt."""
-    known = tasks.select(F.col("id").alias("task_id"), plain_key(F.col("id")).alias("key")).where("key is not null").distinct()
-    by_name = sessions.where("_group is not null").select("sample_id", task_key(F.col("_group")).alias("key")).where("key is not null").join(known, "key").select("sample_id", "task_id")
+def _vertex(kind: str, col: Column) -> Column:
+    return F.concat(F.lit(f"{kind}:"), col.cast("string"))
+
+
+def row_edges(sessions: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(sample_id, v): a row's spelling of its group, or where that is null the prompts in its first user message."""
+    spelt = sessions.where("_group is not null").select("sample_id", _vertex("s", F.lower("_group")).alias("v"))
     users = F.filter("messages", lambda m: F.lower(F.trim(m["role"])) == "user")
     asked = sessions.where("_group is null and messages is not null").select("sample_id", squeezed(F.try_element_at(users, F.lit(1))["content"]).alias("text"))
-    return by_name.unionByName(prompt_tasks(asked, tasks)).distinct()
+    return spelt.unionByName(prompt_hits(asked, tasks).select("sample_id", _vertex("p", F.col("prompt")).alias("v")))
+
+
+def entity_edges(spellings: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(v, w): what each spelling (v) names, a task or else a group key, and the tasks of each prompt."""
+    known = tasks.select(_vertex("t", F.col("id")).alias("w"), plain_key(F.col("id")).alias("key")).where("key is not null").distinct()
+    raw = spellings.where("v like 's:%'").select("v", F.expr("substr(v, 3)").alias("raw"))
+    named = raw.select("v", task_key(F.col("raw")).alias("key")).where("key is not null").join(known, "key").select("v", "w")
+    other = raw.select("v", plain_key(F.col("raw")).alias("key")).where("key is not null").join(named.select("v").distinct(), "v", "left_anti").select("v", _vertex("g", F.col("key")).alias("w"))
+    prompts = tasks.where("id is not null and prompt is not null").select(_vertex("p", F.xxhash64(squeezed(F.col("prompt")))).alias("v"), _vertex("t", F.col("id")).alias("w"))
+    return named.unionByName(other).unionByName(prompts.distinct())
+
 
+def related_rows(sessions: DataFrame, tasks: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """(rows, entities, labels): the edges of rows (sample_id, v) and of entities (v, w), and (vertex, component).
 
-def related_rows(sessions: DataFrame, tasks: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(links, labels): the rows' own task links, and (vertex, component) of the graph of rows and entities.
+    Vertices are 'r:' rows, 's:' spellings, 'p:' prompts, 'g:' group keys and 't:' tasks.  Rows of no
+    entity are in no edge."""
+    rows = durable(row_edges(sessions, tasks))
+    entities = durable(entity_edges(rows.select("v").distinct(), tasks))
+    return rows, entities, components(rows.select(_vertex("r", F.col("sample_id")).alias("u"), "v").unionByName(entities.select(F.col("v").alias("u"), F.col("w").alias("v"))))
 
-    Vertices are 'r:<sample_id>', 't:<task id>' and 'g:<group key>'.  Rows of no entity are in no edge."""
-    links = durable(task_links(sessions, tasks))
-    row = F.concat(F.lit("r:"), F.col("sample_id").cast("string")).alias("u")
-    to_task = links.select(row, F.concat(F.lit("t:"), "task_id").alias("v"))
-    named = links.select("sample_id", F.lit(True).alias("named")).distinct()
-    groups = sessions.where("_group is not null").select("sample_id", plain_key(F.col("_group")).alias("key")).where("key is not null").join(named, "sample_id", "left_anti")
-    to_group = groups.select(row, F.concat(F.lit("g:"), "key").alias("v"))
-    return links, components(to_task.unionByName(to_group))
+
+def row_tasks(rows: DataFrame, entities: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sample_id, task_id): a row belongs to the task of its component.
+
+    Where prompts that rows share bring several tasks into one component, the row's own spelling or
+    prompt, two edges away from its tasks, tells which of them are its own; no row meets all tasks."""
+    labels = durable(labels)
+    tasks = labels.where("vertex like 't:%'").groupBy("component").agg(F.count(F.lit(1)).alias("n"), F.min("vertex").alias("task"))
+    mine = labels.where("vertex like 'r:%'").select(F.expr("cast(substr(vertex, 3) as bigint)").alias("sample_id"), "component").join(tasks, "component")
+    own = entities.where("w like 't:%'").select("v", F.col("w").alias("task"))
+    several = rows.join(mine.where("n > 1").select("sample_id"), "sample_id", "left_semi").join(own, "v").select("sample_id", "task")
+    return mine.where("n = 1").select("sample_id", "task").unionByName(several).select("sample_id", F.expr("substr(task, 3)").alias("task_id")).distinct()
+
+
+def task_links(sessions: DataFrame, tasks: DataFrame) -> DataFrame:
+    """(sample_id, task_id): the group names the task, or the group is null and the first user message holds its prompt."""
+    return row_tasks(*related_rows(sessions, tasks))
 
 
 def p6_found(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Rows of sft_dataset with the task they belong to: rows and tasks of one component, checked by the row's own link."""
-    links, labels = related_rows(table(spark, sf_dir, "sft_dataset"), table(spark, sf_dir, "tasks"))
-    rows = labels.where("vertex like 'r:%'").select(F.expr("cast(substr(vertex, 3) as bigint)").alias("sample_id"), "component")
-    kin = labels.where("vertex like 't:%'").select(F.expr("substr(vertex, 3)").alias("task_id"), "component")
-    return rows.join(kin, "component").select("sample_id", "task_id").join(links, ["sample_id", "task_id"], "left_semi").distinct()
+    """Rows of sft_dataset with the task they belong to, by the components' labels."""
+    return task_links(table(spark, sf_dir, "sft_dataset"), table(spark, sf_dir, "tasks"))
 
 
 def _place(parts: pd.DataFrame) -> pd.DataFrame:
     """Places components, and hash bins of small ones, by the weight each split has gathered so far.
 
-    parts: item, bin, component, source, n, a row for each source of an item.  Items go one by one, the
-    heaviest first, to the split that relatively lacks most of the rows of the item's own sources; so the
-    proportions hold within sources as well, as far as whole components allow."""
+    parts: item, source, n, a row for each source of an item.  Items go one by one, the heaviest first, to
+    the split that relatively lacks most of the rows of the item's own sources; so the proportions hold
+    within sources as well, as far as whole components allow."""
     share = np.array([s for _, s in SPLITS])
     sources = {s: k for k, s in enumerate(sorted(parts["source"].unique()))}
     total = np.zeros(len(sources))
     np.add.at(total, parts["source"].map(sources).to_numpy(), parts["n"].to_numpy())
     want = np.outer(share, total)
     have = np.zeros_like(want)
-    items = [(-g["n"].sum(), name, g["source"].map(sources).to_numpy(), g["n"].to_numpy(), g["bin"].iloc[0], g["component"].iloc[0]) for name, g in parts.groupby("item", sort=True)]
+    items = [(-g["n"].sum(), name, g["source"].map(sources).to_numpy(), g["n"].to_numpy()) for name, g in parts.groupby("item", sort=True)]
     out = []
-    for _, name, at, n, number, component in sorted(items, key=lambda x: x[:2]):
+    for _, name, at, n in sorted(items, key=lambda x: x[:2]):
         lack = (want[:, at] - have[:, at]) / np.maximum(want[:, at], 1e-9)
         pick = int(np.argmax((lack * n).sum(axis=1)))
         have[pick, at] += n
-        out.append((name, number, component, SPLITS[pick][0]))
-    return pd.DataFrame(out, columns=["item", "bin", "component", "split"])
+        out.append((name, SPLITS[pick][0]))
+    return pd.DataFrame(out, columns=["item", "split"])
 
 
 def split_assignments(sessions: DataFrame, tasks: DataFrame, seed: int = 11) -> DataFrame:
     """sample_id, source, component, split for every row.
 
-    A component of a thousandth or more of the source that most of its rows name is placed by itself;
-    smaller ones go by hash into bins of their source.  So a bounded table (at most a thousand components
-    and ``BINS`` bins a source, ``ALL_BINS`` bins in all) decides, whatever the number of components."""
-    _, labels = related_rows(sessions, tasks)
+    Components go by the source that most of their rows name, each source placed by itself.  One of a
+    thousandth or more of its source is placed alone, smaller ones by hash bins.  Of other sources that its
+    components touch, those of under a thousandth of the rows count as one.  So a task places at most a
+    thousand components and ``BINS`` bins, whatever the number of components and sources."""
+    _, _, labels = related_rows(sessions, tasks)
     mine = labels.where("vertex like 'r:%'").select(F.expr("cast(substr(vertex, 3) as bigint)").alias("sample_id"), "component")
     rows = sessions.select("sample_id", clean_label(F.col("source")).alias("source")).join(mine, "sample_id", "left").select("sample_id", "source", F.coalesce("component", F.concat(F.lit("r:"), F.col("sample_id").cast("string"))).alias("component"))
     rows = durable(rows)
     by_source = durable(rows.groupBy("component", "source").agg(F.count(F.lit(1)).alias("n")))
     whole = by_source.groupBy("component").agg(F.sum("n").alias("weight"), F.max_by("source", F.struct("n", "source")).alias("stratum"))
     totals = whole.groupBy("stratum").agg(F.sum("weight").alias("total"))
-    n_bins = F.greatest(F.lit(8), F.least(F.lit(BINS), F.floor(F.lit(ALL_BINS) / F.greatest(totals.agg(F.count(F.lit(1))).scalar(), F.lit(1))))).cast("int")
-    lot = F.pmod(F.xxhash64("component", F.lit(seed)), n_bins).cast("int")
-    sized = whole.join(F.broadcast(totals), "stratum").withColumn("bin", F.when(F.col("weight") * 1000 >= F.col("total"), F.lit(-1)).otherwise(lot))  # totals: a row for each source
-    item = F.when(F.col("bin") < 0, F.concat(F.lit("c:"), "component")).otherwise(F.concat(F.lit("b:"), F.col("bin").cast("string"), F.lit(":"), "stratum"))
-    sized = durable(sized.select("component", "bin", item.alias("item")))
-    parts = by_source.join(sized, "component").groupBy("item", "bin", F.when(F.col("bin") < 0, F.col("component")).alias("component"), "source").agg(F.sum("n").alias("n"))
-    placed = parts.groupBy(F.lit(0).alias("all")).applyInPandas(lambda part: _place(part.drop(columns="all", errors="ignore")), "item string, bin int, component string, split string")
-    placed = durable(placed.select("item", "split"))
-    return rows.join(sized.join(placed, "item").select("component", "split"), "component").select("sample_id", "source", "component", "split")
+    lot = F.pmod(F.xxhash64("component", F.lit(seed)), F.lit(BINS)).cast("string")
+    alone = F.col("weight") * 1000 >= F.col("total")
+    sized = durable(whole.join(totals, "stratum").select("component", "stratum", "total", F.when(alone, F.concat(F.lit("c:"), "component")).otherwise(F.concat(F.lit("b:"), lot)).alias("item")))
+    parts = by_source.join(sized, "component").groupBy("stratum", "total", "item", "source").agg(F.sum("n").alias("n"))
+    shares = parts.groupBy("stratum", "source").agg(F.sum("n").alias("of_source"))
+    few = F.when(F.col("of_source") * 1000 >= F.col("total"), F.col("source")).otherwise("")
+    bounded = parts.join(shares, ["stratum", "source"]).groupBy("stratum", "item", few.alias("source")).agg(F.sum("n").alias("n"))
+
+    def place(key: tuple, part: pd.DataFrame) -> pd.DataFrame:
+        return _place(part).assign(stratum=key[0])
+
+    placed = durable(bounded.groupBy("stratum").applyInPandas(place, "stratum string, item string, split string"))
+    return rows.join(sized.join(placed, ["stratum", "item"]).select("component", "split"), "component").select("sample_id", "source", "component", "split")
 
 
 def p6_splits(spark: SparkSession, sf_dir: str) -> DataFrame:
