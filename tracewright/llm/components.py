@@ -23,15 +23,16 @@ def _both_ways(edges: DataFrame) -> DataFrame:
 def _coins(edges: DataFrame, seed: int, number: int) -> DataFrame:
     """child, parent: vertices whose coin shows tails collapse into their smallest neighbour with heads.
 
-    Coins are weighted: a vertex of degree d shows heads with probability (d / (d + 1)) squared, a leaf
-    with 1/4, a hub nearly always.  So three quarters of a star's leaves go in a round, however large it
-    is, and of a path's vertices more than a third.  A vertex throws the same coin in all its edges."""
+    Coins are weighted and mated: a vertex of degree d draws u ** (1 / d ** 2) from a uniform u and shows
+    heads if no neighbour draws more.  So all leaves of a star go in a round but for a chance of 1 / d,
+    however large it is, and of a path's vertices two thirds; some vertex always goes."""
     ways = _both_ways(edges)
-    degree = ways.groupBy("x").agg(F.count(F.lit(1)).alias("d"))
-    u = F.pmod(F.xxhash64("x", F.lit(seed), F.lit(number)), F.lit(1 << 20)) / F.lit(float(1 << 20))
-    coin = durable(degree.select("x", (u < F.pow(F.col("d") / (F.col("d") + 1), F.lit(2))).alias("heads")))
+    u = (F.pmod(F.xxhash64("x", F.lit(seed), F.lit(number)), F.lit(1 << 40)) + 1) / F.lit(float((1 << 40) + 1))
+    drawn = ways.groupBy("x").agg(F.count(F.lit(1)).alias("d")).select("x", F.struct((F.log(u) / F.pow("d", F.lit(2))).alias("draw"), F.col("x").alias("name")).alias("draw"))
+    best = ways.join(drawn.withColumnsRenamed({"x": "y", "draw": "other"}), "y").groupBy("x").agg(F.max("other").alias("other"))
+    coin = durable(drawn.join(best, "x").select("x", (F.col("draw") > F.col("other")).alias("heads")))
     tails, heads = coin.where("not heads").select("x"), coin.where("heads").select(F.col("x").alias("y"))
-    return ways.join(tails, "x", "left_semi").join(heads, "y", "left_semi").groupBy(F.col("x").alias("child")).agg(F.min("y").alias("parent"))
+    return ways.join(heads, "y", "left_semi").groupBy(F.col("x").alias("child")).agg(F.min("y").alias("parent")).join(tails.select(F.col("x").alias("child")), "child", "left_semi")
 
 
 def contract(edges: DataFrame, seed: int = 7, max_rounds: int = 400) -> list[DataFrame]:
@@ -39,12 +40,12 @@ def contract(edges: DataFrame, seed: int = 7, max_rounds: int = 400) -> list[Dat
     left = durable(edges.where("u <> v").select(F.least("u", "v").alias("u"), F.greatest("u", "v").alias("v")).distinct())
     steps: list[DataFrame] = []
     for number in range(max_rounds):
-        if left.isEmpty():
-            return steps
         collapse = durable(_coins(left, seed, number))
         if not collapse.isEmpty():
             steps.append(collapse)
             left = durable(_contract(left, collapse))
+        elif left.isEmpty():
+            return steps
     raise RuntimeError("contraction did not end")
 
 
