@@ -1,16 +1,18 @@
 """Problem 7: evaluation texts leaking into training text, by latent semantic retrieval.
 
-The evaluation items are the query side and run in blocks of bounded size.  Documents are encoded once
-as ids of the block's vocabulary (a word no item holds can be in no leaked run; it only ends runs) and
-written to a checkpoint.  Over all documents a randomised SVD of TF-IDF passages is computed: every
-partition sums its share of A'(A X) for a narrow matrix X, so only vocabulary-by-rank tables travel.
-Passages of documents and items meet by cosine in the latent space; candidates are then checked on the
-words, by the longest common run (exact leaks) or the longest common subsequence plus the item's rare
-words (paraphrases).
+The evaluation items are the query side; they run in one block unless their vocabulary outgrows a broadcast.
+Documents are encoded once as ids of the block's vocabulary (a word no item holds can be in no leaked run;
+it only ends runs) and written to a checkpoint.  Over all documents a randomised SVD of TF-IDF passages is
+computed: every partition sums its share of A'(A X) for a narrow matrix X, so only vocabulary-by-rank tables
+travel.  Windows of documents find windows of items in the latent space.  For exact leaks an index of random
+hyperplanes gives the windows of equal sign keys, of which those of a high cosine are candidates; for
+paraphrases, whose texts share their domain and so most keys, the item windows (the stated query set) meet
+all document windows in blocks of one matrix product.  Candidates are then checked on the words, by the
+longest common run (exact leaks) or the longest common subsequence plus the item's rare words (paraphrases).
 
 Why no exact leak is lost: a run of 13 words holds one whole window of 7 that starts at a multiple of 7
 in the item; the document's windows of 7 start at every word of its vocabulary runs of 13 or more; equal
-windows have equal vectors, so their cosine is 1.
+windows have equal vectors, so their keys are equal and their cosine is 1.
 """
 
 from __future__ import annotations
@@ -29,8 +31,11 @@ from tracewright.session import bounded_collect, durable, ensure_small, table
 
 RUN = 13
 RANK, OVERSAMPLE = 48, 8
-ITEMS_PER_BLOCK = 2000
-MAX_ITEMS = 1_000_000
+#: A block of items ends at so many items or vocabulary words: the latent table is broadcast (some 40 MB at most).
+ITEMS_PER_BLOCK, BLOCK_WORDS = 200_000, 100_000
+MAX_ITEMS, MAX_ITEM_BYTES = 1_000_000, 256 << 20
+#: Sign keys of the index: (tables, bits).  Equal vectors agree in every table.
+EXACT_KEYS = (4, 16)
 
 
 @dataclass
@@ -43,14 +48,18 @@ class ItemBlock:
 
 
 def _item_blocks(items: DataFrame) -> Iterator[ItemBlock]:
-    rows = bounded_collect(items.select("item_id", "text").where("item_id is not null and text is not null"), MAX_ITEMS, "evaluation items")
-    for at in range(0, len(rows), ITEMS_PER_BLOCK):
-        vocabulary: dict[str, int] = {}
-        ids, words = [], []
-        for r in rows[at : at + ITEMS_PER_BLOCK]:
-            ids.append(r.item_id)
-            words.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in plain_words(r.text)], dtype=np.int32))
-        ensure_small(sum(len(w) for w in vocabulary) * 4, "item vocabulary")
+    some = items.select("item_id", "text").where("item_id is not null and text is not null")
+    ensure_small(some.agg(F.coalesce(F.sum(F.octet_length("text")), F.lit(0))).first()[0], "evaluation items", MAX_ITEM_BYTES)
+    vocabulary: dict[str, int] = {}
+    ids: list[int] = []
+    words: list[np.ndarray] = []
+    for r in bounded_collect(some, MAX_ITEMS, "evaluation items"):
+        ids.append(r.item_id)
+        words.append(np.array([vocabulary.setdefault(w, len(vocabulary)) for w in plain_words(r.text)], dtype=np.int32))
+        if len(ids) >= ITEMS_PER_BLOCK or len(vocabulary) >= BLOCK_WORDS:
+            yield ItemBlock(ids, words, vocabulary)
+            ids, words, vocabulary = [], [], {}
+    if ids:
         yield ItemBlock(ids, words, vocabulary)
 
 
@@ -174,12 +183,54 @@ def _unit(v: np.ndarray) -> np.ndarray:
 
 def _pairs_above(left: np.ndarray, right: np.ndarray, least: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Index pairs of unit rows with a cosine of ``least`` or more, a bounded part of the product at a time."""
-    a, b, c = [], [], []
-    for at in range(0, len(left), 2048):
-        cosine = left[at : at + 2048] @ right.T
-        i, j = np.nonzero(cosine >= least)
-        a.append(i + at), b.append(j), c.append(cosine[i, j])
-    return (np.concatenate(a), np.concatenate(b), np.concatenate(c)) if a else (np.empty(0, int),) * 2 + (np.empty(0),)
+    found = []
+    for at in range(0, len(left), 1024):
+        cosine = left[at : at + 1024] @ right.T
+        i, j = np.divmod(np.flatnonzero(cosine >= least), max(1, len(right)))
+        found.append((i + at, j, cosine[i, j]))
+    return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int), np.empty(0, int), np.empty(0))
+
+
+class PlaneIndex:
+    """Unit vectors by the signs of their products with random planes, some tables of keys."""
+
+    def __init__(self, vectors: np.ndarray, tables: int, bits: int, seed: int = 17):
+        self.vectors, self.tables, self.bits = vectors, tables, bits
+        self.planes = np.random.default_rng(seed).standard_normal((vectors.shape[1], tables * bits)).astype(np.float32)
+        key = self._keys(vectors)
+        self.order = np.argsort(key, axis=0, kind="stable").astype(np.int32)
+        self.sorted = np.take_along_axis(key, self.order, axis=0)
+
+    def _keys(self, v: np.ndarray) -> np.ndarray:
+        signs = (v @ self.planes > 0).reshape(len(v), self.tables, self.bits)
+        return signs @ (1 << np.arange(self.bits, dtype=np.int32))
+
+    def above(self, left: np.ndarray, least: float, part: int = 8192) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        """(i, j, cosine) of the rows of ``left`` and indexed vectors of a common key and a cosine of ``least`` or more."""
+        found = []
+        for at in range(0, len(left), part):
+            some = left[at : at + part]
+            key = self._keys(some)
+            pairs = []
+            for t in range(self.tables):
+                low = np.searchsorted(self.sorted[:, t], key[:, t])
+                n = np.searchsorted(self.sorted[:, t], key[:, t], side="right") - low
+                i = np.repeat(np.arange(len(some)), n)
+                place = np.arange(len(i)) - np.repeat(np.cumsum(n) - n, n) + np.repeat(low, n)
+                pairs.append(i * len(self.vectors) + self.order[place, t])
+            pair = np.concatenate(pairs)
+            kept, cosines = [], []
+            for k in range(0, len(pair), 1 << 18):
+                i, j = np.divmod(pair[k : k + (1 << 18)], max(1, len(self.vectors)))
+                cosine = np.einsum("ij,ij->i", some[i], self.vectors[j])
+                keep = cosine >= least
+                kept.append(pair[k : k + (1 << 18)][keep])
+                cosines.append(cosine[keep])
+            if kept:
+                one, first = np.unique(np.concatenate(kept), return_index=True)  # of several tables
+                i, j = np.divmod(one, max(1, len(self.vectors)))
+                found.append((i + at, j, np.concatenate(cosines)[first]))
+        return tuple(np.concatenate(x) for x in zip(*found)) if found else (np.empty(0, int), np.empty(0, int), np.empty(0))
 
 
 def _item_windows(block: ItemBlock, width: int, step: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -197,10 +248,10 @@ def exact_leaks(encoded: DataFrame, block: ItemBlock, idf: np.ndarray, space: np
     latent = idf[:, None] * space
     owner, start, terms = _item_windows(block, width, width)
     vectors = _unit(latent[terms].sum(axis=1)) if len(terms) else np.empty((0, latent.shape[1]), np.float32)
-    shared = encoded.sparkSession.sparkContext.broadcast((latent, owner, start, vectors, block.words, np.array(block.ids, dtype=np.int64)))
+    shared = encoded.sparkSession.sparkContext.broadcast((latent, owner, start, PlaneIndex(vectors, *EXACT_KEYS), block.words, np.array(block.ids, dtype=np.int64)))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        latent, owner, start, vectors, words, ids = shared.value
+        latent, owner, start, index, words, ids = shared.value
         for batch in batches:
             flat, row = _flat(batch)
             docs = batch.column(0).to_numpy(zero_copy_only=False)
@@ -218,7 +269,7 @@ def exact_leaks(encoded: DataFrame, block: ItemBlock, idf: np.ndarray, space: np
                 for k in range(width):
                     name = mix64(name * np.uint64(31) + window[:, k].astype(np.uint64) + np.uint64(1))
                 _, one, every = np.unique(name, return_index=True, return_inverse=True)
-                a, b, _ = _pairs_above(_unit(latent[window[one]].sum(axis=1)), vectors, least)
+                a, b, _ = index.above(_unit(latent[window[one]].sum(axis=1)), least)
                 equal = (window[one][a] == np.stack([words[owner[w]][start[w] : start[w] + width] for w in b])).all(axis=1) if len(a) else np.empty(0, bool)
                 order = np.argsort(every, kind="stable")
                 bound = np.searchsorted(every[order], np.arange(len(one) + 1))
@@ -240,13 +291,14 @@ def exact_leaks(encoded: DataFrame, block: ItemBlock, idf: np.ndarray, space: np
     return encoded.mapInArrow(run, "doc_id bigint, item_id bigint, words int")
 
 
-def _common_subsequence(x: np.ndarray, y: np.ndarray) -> int:
-    row = [0] * (len(y) + 1)
-    for a in x:
-        diagonal = 0
-        for k, b in enumerate(y, 1):
-            diagonal, row[k] = row[k], diagonal + 1 if a == b else max(row[k], row[k - 1])
-    return row[-1]
+def _common_subsequences(x: np.ndarray, y: np.ndarray) -> np.ndarray:
+    """The length of the longest common subsequence of each row of ``x`` and the same row of ``y``."""
+    row = np.zeros((len(x), y.shape[1] + 1), dtype=np.int16)
+    for i in range(x.shape[1]):
+        equal = y == x[:, i : i + 1]
+        grown = np.maximum(row[:, 1:], np.where(equal, row[:, :-1] + 1, 0))
+        row[:, 1:] = np.maximum.accumulate(grown, axis=1)
+    return row[:, -1]
 
 
 def paraphrases(encoded: DataFrame, block: ItemBlock, idf: np.ndarray, space: np.ndarray, width: int = RUN, least: float = 0.8, common: float = 0.6, rare_share: float = 0.5) -> DataFrame:
@@ -273,24 +325,22 @@ def paraphrases(encoded: DataFrame, block: ItemBlock, idf: np.ndarray, space: np
             best: dict[tuple[int, int], tuple[float, int]] = {}
             keep = flat >= 0
             t, r = flat[keep], row[keep]
+            summed = np.concatenate([np.zeros((1, latent.shape[1])), np.cumsum(latent[t], axis=0)])
             for wide, owner, terms, vectors in groups:
                 at = np.arange(0, max(0, len(t) - wide + 1))
                 at = at[r[at] == r[at + wide - 1]] if len(at) else at
-                for k in range(0, len(at), 65536):
-                    part = at[k : k + 65536]
-                    window = t[part[:, None] + np.arange(wide)]
-                    a, b, c = _pairs_above(_unit(latent[window].sum(axis=1)), vectors, least)
-                    order = np.argsort(-c, kind="stable")  # the most alike first, so most pairs are settled by their first candidates
-                    for i, w, cosine in zip(a[order], b[order], c[order]):
-                        key = (int(docs[r[part[i]]]), int(ids[owner[w]]))
-                        if key in best and best[key][0] >= cosine:
-                            continue
-                        rare = {int(x) for x in terms[w] if idf[x] >= middle}
-                        if rare and len(rare & set(window[i].tolist())) < rare_share * len(rare):
-                            continue
-                        n = _common_subsequence(window[i].tolist(), terms[w].tolist())
-                        if n >= common * wide:
-                            best[key] = (float(cosine), n)
+                a, b, c = _pairs_above(_unit(summed[at + wide] - summed[at]), vectors, least)
+                for k in range(0, len(a), 1 << 15):
+                    place, w, cosine = at[a[k : k + (1 << 15)]], b[k : k + (1 << 15)], c[k : k + (1 << 15)]
+                    window, wanted = t[place[:, None] + np.arange(wide)], terms[w]
+                    there = (wanted[:, :, None] == window[:, None, :]).any(axis=2)
+                    rare = idf[wanted] >= middle
+                    likely = ((there & rare).sum(axis=1) >= rare_share * rare.sum(axis=1)) & (there.sum(axis=1) >= common * wide)  # of each word one place counts twice, so this bounds the subsequence from above
+                    place, w, cosine = place[likely], w[likely], cosine[likely]
+                    n = _common_subsequences(window[likely], wanted[likely])
+                    for i in np.flatnonzero(n >= common * wide):
+                        key = (int(docs[r[place[i]]]), int(ids[owner[w[i]]]))
+                        best[key] = max(best.get(key, (0.0, 0)), (float(cosine[i]), int(n[i])))
             keys = list(best)
             yield pa.RecordBatch.from_arrays([pa.array([k[0] for k in keys], pa.int64()), pa.array([k[1] for k in keys], pa.int64()), pa.array([best[k][0] for k in keys], pa.float64()), pa.array([best[k][1] for k in keys], pa.int32())], names=["doc_id", "item_id", "cosine", "common_words"])
 
