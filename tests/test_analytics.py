@@ -96,6 +96,25 @@ def test_failures_and_summary(spark):
     assert s == {"k": (False, 2, "one (+1 more failing check)"), "ok": (True, 0, None)}
 
 
+def test_headlines_by_hints(spark):
+    rows = [("a", "FAILED a.py::t - AssertionError: one", "Write the final answer for this run HERE", "x"), ("b", "exit_code=1 SyntaxError", None, " "), ("c", "2 failed", "", None), ("d", "exit_code=2 Errors During Collection", "ok", "x")]
+    df = spark.createDataFrame(rows, "k string, t string, answer string, diff string")
+    got = {r.k: r.headline for r in E.summarise_verification(df, "k", "t", "answer", "diff").collect()}
+    assert got == {"a": E.NO_ANSWER_HEADLINE, "b": E.NO_CHANGE_HINT, "c": E.DEFAULT_HEADLINE, "d": "Pytest failed while collecting tests."}
+
+
+def test_calls_pair_their_sides(spark):
+    """A reply goes to the request right before it; a lost request, a lost reply, a late stamp and copies."""
+    u = "struct<prompt_tokens:bigint,input_tokens:bigint,completion_tokens:bigint,output_tokens:bigint,total_tokens:bigint,prompt_tokens_details:struct<cached_tokens:bigint>,completion_tokens_details:struct<reasoning_tokens:bigint>,cost:double>"
+    ask, reply = lambda m: (m,), lambda n: ("stop", (None, None, None, None, n, None, None, 0.5))
+    stamp = lambda k: f"20260101-00000{k}"
+    rows = [(1, "s", stamp(1), ask("m1"), None), (2, "s", stamp(2), None, reply(10)), (2, "s", stamp(2), None, reply(10)), (3, "s", stamp(3), None, reply(20)), (4, "s", stamp(4), ask("m2"), None), (5, "s", stamp(5), ask("m3"), None), (6, "s", stamp(6), None, reply(30)), (7, "s", None, None, reply(40)), (8, None, stamp(1), ask("m1"), None), (9, None, stamp(2), None, reply(50)), (10, "t", stamp(1), ask("m4"), reply(60)), (11, "t", stamp(2), None, reply(70)), (None, "t", stamp(3), ask(None), None), (None, "t", stamp(3), ask(None), None)]
+    df = spark.createDataFrame(rows, f"record_id bigint, session_id string, timestamp string, request struct<model:string>, response struct<finish_reason:string,usage:{u}>").selectExpr("*", "cast(null as string) as project_id", "'' as upstream", "current_timestamp() as ingested_at", "'clash' as ts", "1 as call")
+    got = sorted((r.record_id or 0, r.model, r.total, r.has_usage) for r in U.calls(df).collect())
+    assert got == [(0, "unknown", 0, False), (0, "unknown", 0, False), (1, "m1", 10, True), (3, "m1", 20, True), (4, "m2", 0, False), (5, "m3", 30, True), (7, "unknown", 40, True), (8, "m1", 0, False), (9, "unknown", 50, True), (10, "m4", 60, True), (11, "m4", 70, True)]
+    assert U.calls(df.limit(0)).count() == 0 and U.priced(U.calls(df)).count() == 7
+
+
 def test_knowledge_grade(spark):
     ref = "`alpha beta` in pkg/core/app.py uses load_cache and CacheReader"
     rows = [("alpha beta load_cache", ["/wt/pkg/core/app.py"]), ("alpha beta load_cache", []), ("alpha beta load_cache", None), ("", ["xapp.py"])]

@@ -50,6 +50,26 @@ def test_djb2(spark):
     assert one(spark, X.djb2(F.col("t")), t="hello world") == digits
 
 
+def test_djb2_counts_utf16_units(spark):
+    text = "a😀é"
+    h = 5381
+    raw = text.encode("utf-16-be")
+    for k in range(0, len(raw), 2):
+        h = (h * 33 + int.from_bytes(raw[k : k + 2], "big")) & 0xFFFFFFFF
+    assert int(one(spark, X.djb2(F.col("t")), t=text), 36) == h and int(one(spark, X.djb2(F.col("t")), t=""), 36) == 5381
+
+
+@pytest.mark.parametrize(("args", "want"), [('{"command":"ls","description":"list"}', "list"), ('{"cmd":"x","path":"a/b"}', "a/b"), ('{"todos":[{"a":1}]}', "1 todo item"), ('{"todos":[1,2]}', "2 todo items"), ('{"questions":["q"]}', '["q"]'), ('{"name":"n"}', '{"name":"n"}'), ("not json", "not json")])
+def test_argument_summaries(spark, args, want):
+    assert one(spark, X.summarise_args(F.col("t")), t=args) == want
+
+
+def test_instants(spark):
+    for text in ("20260530-093414", "20260530093414", "20260530T093414Z", "2026-05-30T09:34:14Z", "2026-05-30T11:34:14+02:00", "1780133654000"):
+        assert one(spark, F.unix_seconds(X.instant(F.col("t"))), t=text) == 1780133654
+    assert one(spark, X.instant(F.col("t")), t="soon") is None
+
+
 def test_dead_ends_differ(spark):
     assert one(spark, X.dead_end_sql(F.col("t")), t="bash: x: Command not found") and not one(spark, X.dead_end_sql(F.col("t")), t="ENOENT here")
     assert one(spark, X.dead_end_trace(F.col("t")), t="ENOENT here") and one(spark, X.dead_end_trace(F.col("t")), t="error: x")

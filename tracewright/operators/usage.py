@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from tracewright.functions import text as X
 from tracewright.operators import messages as M
 from tracewright.operators.trace import steps
-from tracewright.session import with_rank
+from tracewright.session import with_previous, with_rank
 
 FIGURES = ("prompt", "completion", "total", "cached", "reasoning")
 GAP_MINUTES = 30
@@ -36,10 +36,30 @@ def source_label(upstream: Column, replay: Column) -> Column:
 
 
 def calls(records: DataFrame) -> DataFrame:
-    """One row for each delivered record: ids, model, upstream, ts, usage figures, finish reason."""
-    once = records.dropDuplicates(["record_id"])
+    """One row for each call: record_id (the request's, or the reply's if its request is lost), ids, model,
+    upstream, ts, usage figures, finish reason.
+
+    A record is one side of a call, or both.  A reply belongs to the request right before it in its session,
+    by instant; its model is that of the session's last request, 'unknown' if there is none.  Sides without a
+    session or a readable instant pair with nothing; deliveries of one record_id count once, those of none
+    each for themselves."""
     u = usage(F.col("response"))
-    return once.select("record_id", "session_id", "project_id", F.coalesce(F.nullif("request.model", F.lit("")), F.lit("unknown")).alias("model"), F.coalesce(F.nullif("upstream", F.lit("")), F.lit("local")).alias("upstream"), X.compact_stamp(F.col("timestamp")).alias("ts"), F.col("response.finish_reason").alias("finish"), u.alias("u")).select("*", "u.*").drop("u")
+    sides = records.select(
+        "record_id", "session_id", "project_id", "ingested_at", X.instant(F.col("timestamp")).alias("ts"), F.col("request").isNotNull().alias("asks"), F.nullif("request.model", F.lit("")).alias("model"),
+        F.nullif("upstream", F.lit("")).alias("upstream"), F.col("response.finish_reason").alias("finish"), u.alias("u"), F.col("response").isNotNull().alias("replies"),
+    )
+    packed = F.struct(*[F.col(c) for c in sides.columns if c != "ingested_at"])
+    once = sides.where("record_id is not null").groupBy("record_id").agg(F.max_by(packed, F.coalesce("ingested_at", F.to_timestamp(F.lit("1970-01-01")))).alias("s")).select("s.*").unionByName(sides.where("record_id is null").drop("ingested_at"))
+    placed = F.col("ts").isNotNull() & F.col("session_id").isNotNull()
+    before = {"last_side": F.when(placed, F.struct("asks", "replies", "record_id")), "last_model": F.when(placed & F.col("asks"), F.col("model"))}
+    paired = with_previous(once, "session_id", ["ts", "record_id"], before)
+    own = F.col("asks") | ~placed | ~F.coalesce(F.col("last_side.asks") & ~F.col("last_side.replies"), F.lit(False))
+    call = F.coalesce(F.when(own, F.col("record_id")).otherwise(F.col("last_side.record_id")), F.expr("-1 - monotonically_increasing_id()"))
+    named = paired.select("*", call.alias("call"), F.coalesce("model", F.when(~F.col("asks") & placed, F.col("last_model")), F.lit("unknown")).alias("of_model"))
+    first = lambda c: F.min_by(F.col(c), F.when(F.col(c).isNotNull(), ~F.col("asks"))).alias(c)  # noqa: E731  the request's, else the reply's
+    figures = [F.sum(F.col(f"u.{c}")).alias(c) for c in (*FIGURES, "cost")]
+    made = named.groupBy("call").agg(F.min("record_id").alias("any_id"), first("session_id"), first("project_id"), first("of_model"), first("upstream"), F.min("ts").alias("ts"), F.max("finish").alias("finish"), *figures, F.bool_or("u.has_usage").alias("has_usage"))
+    return made.select(F.when(F.col("call") >= 0, F.col("call")).alias("record_id"), "session_id", "project_id", F.col("of_model").alias("model"), F.coalesce("upstream", F.lit("local")).alias("upstream"), "ts", "finish", *FIGURES, "cost", "has_usage")
 
 
 def rollup(calls: DataFrame, *by: str) -> DataFrame:
@@ -56,6 +76,17 @@ def totals_and_breakdown(calls: DataFrame, *by: str) -> DataFrame:
     return out.select(*[F.when(F.col(f"__{c}") == 1, "all").otherwise(F.col(c)).alias(c) for c in by], "calls", *FIGURES, "cost", F.round(F.try_divide("cached", "prompt"), 6).alias("cache_rate"))
 
 
+def average_figures(calls: DataFrame, *by: str) -> DataFrame:
+    """Tokens and cost a call and the sessions met (A-35); tokens to the nearest whole."""
+    n = F.count(F.lit(1))
+    return calls.groupBy(*by).agg(F.floor(F.sum("total") / n + 0.5).alias("tokens_per_call"), F.round(F.sum("cost") / n, 8).alias("cost_per_call"), F.count_distinct("session_id").alias("n_sessions"))
+
+
+def priced(calls: DataFrame) -> DataFrame:
+    """Calls that cost something (F-30); an unknown cost is none."""
+    return calls.where(F.coalesce("cost", F.lit(0.0)) > 0)
+
+
 def daily(calls: DataFrame) -> DataFrame:
     """Calls, tokens and cost by UTC day; calls without a readable stamp are left out (A-4)."""
     return calls.where("ts is not null").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("calls"), F.sum("total").alias("total"), F.round(F.sum("cost"), 6).alias("cost"), F.min("ts").alias("first_ts"))

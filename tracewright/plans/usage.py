@@ -4,16 +4,21 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tracewright.functions import text as X
 from tracewright.operators import usage as U
 from tracewright.plans.contract import query
 from tracewright.session import table
 
-_STAMP = "try_strptime(replace(replace(replace(regexp_extract(timestamp, '^(\\d{8}[-_ T]?\\d{6})', 1), '-', ''), '_', ''), ' ', ''), '%Y%m%d%H%M%S')"
-_CALLS = f"""WITH once AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY record_id ORDER BY ingested_at) AS k FROM proxy_records) WHERE k = 1),
-u AS (SELECT record_id, session_id, project_id, coalesce(nullif(request.model, ''), 'unknown') AS model, coalesce(nullif(upstream, ''), 'local') AS upstream, {_STAMP} AS ts, response.finish_reason AS finish,
-coalesce(response.usage.prompt_tokens, response.usage.input_tokens, 0) AS prompt, coalesce(response.usage.completion_tokens, response.usage.output_tokens, 0) AS completion,
-coalesce(response.usage.total_tokens, coalesce(response.usage.prompt_tokens, response.usage.input_tokens, 0) + coalesce(response.usage.completion_tokens, response.usage.output_tokens, 0)) AS total,
-coalesce(response.usage.prompt_tokens_details.cached_tokens, 0) AS cached, coalesce(response.usage.completion_tokens_details.reasoning_tokens, 0) AS reasoning, coalesce(response.usage.cost, 0) AS cost, response.usage IS NOT NULL AS has_usage FROM once)"""
+_AT = """CASE WHEN regexp_matches(trim(timestamp), '^\\d{13}$') THEN epoch_us(make_timestamp(trim(timestamp)::BIGINT * 1000)) WHEN regexp_matches(trim(timestamp), '^\\d{8}[^0-9]?\\d{6}([^0-9]|$)')
+THEN epoch_us(try_strptime(regexp_replace(regexp_extract(trim(timestamp), '^\\d{8}[^0-9]?\\d{6}'), '[^0-9]', '', 'g'), '%Y%m%d%H%M%S')) WHEN regexp_matches(trim(timestamp), '^\\d{4}-\\d\\d') THEN epoch_us(try_cast(trim(timestamp) AS TIMESTAMPTZ)) END"""
+_CALLS = f"""WITH once AS (SELECT *, {_AT} AS us, request IS NOT NULL AS asks, response IS NOT NULL AS replies FROM proxy_records QUALIFY record_id IS NULL OR row_number() OVER (PARTITION BY record_id ORDER BY ingested_at DESC) = 1),
+seen AS (SELECT *, us IS NOT NULL AND session_id IS NOT NULL AS placed FROM once),
+prev AS (SELECT *, coalesce(lag(placed AND asks AND NOT replies) OVER w, false) AS after_ask, lag(record_id) OVER w AS ask_id,
+last_value(CASE WHEN placed AND asks THEN nullif(request.model, '') END IGNORE NULLS) OVER (PARTITION BY session_id ORDER BY us NULLS FIRST, record_id ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING) AS asked_model FROM seen WINDOW w AS (PARTITION BY session_id ORDER BY us NULLS FIRST, record_id)),
+side AS (SELECT *, CASE WHEN placed AND NOT asks AND after_ask THEN ask_id ELSE record_id END AS call, coalesce(nullif(request.model, ''), CASE WHEN placed AND NOT asks THEN asked_model END, 'unknown') AS of_model, response.usage AS v FROM prev),
+u AS (SELECT call AS record_id, arg_min(session_id, NOT asks) AS session_id, arg_min(project_id, NOT asks) AS project_id, arg_min(of_model, NOT asks) AS model, coalesce(arg_min(nullif(upstream, ''), NOT asks), 'local') AS upstream, make_timestamp(min(us)) AS ts, max(response.finish_reason) AS finish,
+sum(coalesce(v.prompt_tokens, v.input_tokens, 0)) AS prompt, sum(coalesce(v.completion_tokens, v.output_tokens, 0)) AS completion, sum(coalesce(v.total_tokens, coalesce(v.prompt_tokens, v.input_tokens, 0) + coalesce(v.completion_tokens, v.output_tokens, 0))) AS total,
+sum(coalesce(v.prompt_tokens_details.cached_tokens, 0)) AS cached, sum(coalesce(v.completion_tokens_details.reasoning_tokens, 0)) AS reasoning, sum(coalesce(v.cost, 0)) AS cost, bool_or(v IS NOT NULL) AS has_usage FROM side GROUP BY call)"""
 _SUMS = "count(*) AS calls, sum(prompt)::BIGINT AS prompt, sum(completion)::BIGINT AS completion, sum(total)::BIGINT AS total, sum(cached)::BIGINT AS cached, sum(reasoning)::BIGINT AS reasoning, round(sum(cost), 6) AS cost"
 _RATE = "round(sum(cached) / nullif(sum(prompt), 0), 6) AS cache_rate"
 
@@ -57,9 +62,9 @@ def daily_events(s, d):
     return table(s, d, "events").groupBy(F.date_format("ts", "yyyy-MM-dd").alias("day")).agg(F.count(F.lit(1)).alias("n"), F.round(F.sum("value"), 4).alias("value"))
 
 
-@query("daily_usage", None)
+@query("daily_usage", f"{_CALLS} SELECT strftime(ts, '%Y-%m-%d') AS day, count(*) AS calls, sum(total)::BIGINT AS total, round(sum(cost), 6) AS cost, epoch_us(min(ts)) AS first_us FROM u WHERE ts IS NOT NULL GROUP BY 1")
 def daily_usage(s, d):
-    return U.daily(_calls(s, d))
+    return U.daily(_calls(s, d)).select("day", "calls", "total", "cost", F.unix_micros("first_ts").alias("first_us"))
 
 
 @query(
@@ -86,11 +91,11 @@ def top_calls_by_cost(s, d):
 
 @query(
     "session_rollup",
-    f"""{_CALLS}, m AS (SELECT session_id, model, count(*) AS n, min(record_id) AS first FROM u GROUP BY 1, 2), b AS (SELECT session_id, count(*) AS model_count FROM m GROUP BY 1)
-    SELECT u.session_id, {_SUMS}, {_RATE}, any_value(b.model_count) AS model_count FROM u JOIN b USING (session_id) GROUP BY 1""",
+    f"""{_CALLS}, m AS (SELECT session_id, model, count(*) AS n, min(coalesce(epoch_us(ts), -1)) AS t, min(record_id) AS id FROM u GROUP BY 1, 2), b AS (SELECT session_id, model, count(*) OVER (PARTITION BY session_id) AS model_count FROM m QUALIFY row_number() OVER (PARTITION BY session_id ORDER BY n DESC, t, id) = 1)
+    SELECT u.session_id, {_SUMS}, {_RATE}, any_value(b.model_count) AS model_count, any_value(b.model) AS model, epoch_us(min(ts)) AS us_min, epoch_us(max(ts)) AS us_max FROM u JOIN b USING (session_id) GROUP BY 1""",
 )
 def session_rollup(s, d):
-    return U.session_rollup(_calls(s, d)).drop("model", "ts_min", "ts_max")
+    return U.session_rollup(_calls(s, d)).withColumns({"us_min": F.unix_micros("ts_min"), "us_max": F.unix_micros("ts_max")}).drop("ts_min", "ts_max")
 
 
 @query(
@@ -127,9 +132,8 @@ def root_rollup(s, d):
 
 @query("attached_sessions", None)
 def attached_sessions(s, d):
-    r = U.calls(table(s, d, "proxy_records")).select("record_id", "ts")
-    req = table(s, d, "proxy_records").dropDuplicates(["record_id"]).select("record_id", F.col("request.messages").alias("messages"))
-    return U.attach_sessions(req.join(r, "record_id"))
+    req = table(s, d, "proxy_records").dropDuplicates(["record_id"]).select("record_id", X.instant(F.col("timestamp")).alias("ts"), F.col("request.messages").alias("messages"))
+    return U.attach_sessions(req)
 
 
 @query("project_profile", "SELECT coalesce(project_id, 'null') AS value, count(*) AS n, round(count(*) / (SELECT count(*) FROM proxy_records), 6) AS share FROM proxy_records GROUP BY 1")
@@ -152,9 +156,9 @@ def session_tool_rollup(s, d):
     return U.tool_rollup(table(s, d, "sft_dataset"), "sample_id")
 
 
-@query("average_call_figures", f"{_CALLS} SELECT model, floor(sum(total) / count(*) + 0.5)::BIGINT AS tokens_per_call, count(DISTINCT session_id) AS n_sessions FROM u GROUP BY 1")
+@query("average_call_figures", f"{_CALLS} SELECT model, floor(sum(total) / count(*) + 0.5)::BIGINT AS tokens_per_call, round(sum(cost) / count(*), 8) AS cost_per_call, count(DISTINCT session_id) AS n_sessions FROM u GROUP BY 1")
 def average_call_figures(s, d):
-    return _calls(s, d).groupBy("model").agg(F.floor(F.sum("total") / F.count(F.lit(1)) + 0.5).alias("tokens_per_call"), F.count_distinct("session_id").alias("n_sessions"))
+    return U.average_figures(_calls(s, d), "model")
 
 
 @query("max_message_request", "SELECT session_id, max(len(request.messages))::BIGINT AS n FROM proxy_records WHERE request.messages IS NOT NULL GROUP BY 1")

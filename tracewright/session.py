@@ -8,7 +8,7 @@ import uuid
 import zipfile
 from pathlib import Path
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -98,6 +98,23 @@ def with_rank(df: DataFrame, order: list[str], name: str = "rank") -> DataFrame:
     return placed.join(F.broadcast(offsets), "__part").withColumn(name, F.col("__line") - F.col("__first") + F.col("__before")).drop("__part", "__line", "__first", "__before")
 
 
+def with_previous(df: DataFrame, key: str, order: list[str], values: dict[str, Column]) -> DataFrame:
+    """The rows with, for each name, the last non-null value of its expression among the rows before in the
+    order of the key.  Range-sorted parts are folded apart and meet through one row a key and part, so a
+    key of any size spreads over tasks.  ``order`` should be total; ties fall either way."""
+    made = df.select("*", *[v.alias(f"__{n}") for n, v in values.items()])
+    parts = made.repartitionByRange(max(2, shuffle_partitions(df.sparkSession)), key, *order).withColumn("__part", F.spark_partition_id())
+    placed = durable(parts)
+    here = Window.partitionBy(key, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, -1)
+    place = F.struct(*order)
+    ends = placed.groupBy(F.col(key).alias("__key"), "__part").agg(*[F.max_by(F.col(f"__{n}"), F.when(F.col(f"__{n}").isNotNull(), place)).alias(f"__end_{n}") for n in values])
+    before = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    carried = ends.select("__key", F.col("__part").alias("__of"), *[F.last(f"__end_{n}", ignorenulls=True).over(before).alias(f"__carry_{n}") for n in values])
+    local = placed.select("*", *[F.last(f"__{n}", ignorenulls=True).over(here).alias(f"__local_{n}") for n in values])
+    both = local.join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__of")), "left")
+    return both.select(*df.columns, *[F.coalesce(f"__local_{n}", f"__carry_{n}").alias(n) for n in values])
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 

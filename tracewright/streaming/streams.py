@@ -6,11 +6,10 @@ stateless projections or built-in windowed aggregations with a watermark.
 
 from __future__ import annotations
 
-import json
 from collections.abc import Iterable, Iterator
 
 import pandas as pd
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
@@ -24,102 +23,110 @@ def watch_folder(spark: SparkSession, path: str, max_files: int = 100) -> DataFr
 
 
 def append_indexed(batch: DataFrame, path: str) -> None:
-    """foreachBatch body (T-3): appends rows with indices that go on from those there, each its own."""
+    """foreachBatch body (T-3): appends rows with indices that go on from those there, each its own.
+
+    The next free index is kept in a one-row table beside the rows, so no batch reads them; where it is
+    missing it is found from the rows.  Only a path that does not exist yet counts as empty."""
     spark = batch.sparkSession
-    try:
-        start = spark.read.parquet(path).agg(F.coalesce(F.max("idx") + 1, F.lit(0))).first()[0]
-    except Exception:  # noqa: BLE001  nothing is there yet
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    there = lambda p: hadoop.Path(p).getFileSystem(spark._jsc.hadoopConfiguration()).exists(hadoop.Path(p))
+    mark = f"{path.rstrip('/')}.next"
+    if there(mark):
+        start = spark.read.schema("next bigint").json(mark).agg(F.max("next")).first()[0]
+    elif there(path):
+        start = spark.read.parquet(path).agg(F.max("idx") + 1).first()[0]
+    else:
         start = 0
-    batch.withColumn("idx", F.monotonically_increasing_id() + F.lit(start)).write.mode("append").parquet(path)
+    start = start or 0
+    placed = batch.withColumn("idx", F.monotonically_increasing_id() + F.lit(start))
+    placed.write.mode("append").parquet(path)
+    top = spark.read.parquet(path).where(F.col("idx") >= start).agg(F.max("idx") + 1).first()[0]
+    if top is not None:
+        spark.createDataFrame([(top,)], "next bigint").coalesce(1).write.mode("append").json(mark)
 
 
 # --- server-sent events ---------------------------------------------------------------------------
 
-def new_message() -> dict:
-    return {"buffer": "", "content": [], "reasoning": [], "calls": {}, "finish": None, "usage": None}
-
-
-def feed(state: dict, chunk: str) -> dict:
-    """Adds a chunk of an event stream (T-1, S-24): whole lines are read, the rest waits; only data lines
-    count, [DONE] and bad JSON are passed over; call parts join by their index."""
-    *whole, state["buffer"] = (state["buffer"] + (chunk or "")).split("\n")
-    for line in whole:
-        line = line.strip()
-        if not line.startswith("data:") or line[5:].strip() == "[DONE]":
-            continue
-        try:
-            event = json.loads(line[5:])
-        except ValueError:
-            continue
-        if not isinstance(event, dict):
-            continue
-        state["usage"] = event.get("usage") or state["usage"]
-        for choice in event.get("choices") or []:
-            state["finish"] = choice.get("finish_reason") or state["finish"]
-            delta = choice.get("delta") or {}
-            if delta.get("content"):
-                state["content"].append(delta["content"])
-            thought = delta.get("reasoning_content") or delta.get("reasoning")
-            if thought:
-                state["reasoning"].append(thought)
-            for call in delta.get("tool_calls") or []:
-                slot = state["calls"].setdefault(str(call.get("index", 0)), {"id": None, "name": "", "arguments": ""})
-                slot["id"] = call.get("id") or slot["id"]
-                function = call.get("function") or {}
-                slot["name"] += function.get("name") or ""
-                slot["arguments"] += function.get("arguments") or ""
-    return state
-
-
-def finished(state: dict) -> tuple:
-    """content, reasoning, tool_calls (JSON), finish_reason, usage (JSON); empty texts are null."""
-    calls = [state["calls"][k] for k in sorted(state["calls"], key=int)]
-    return ("".join(state["content"]) or None, "".join(state["reasoning"]) or None, json.dumps(calls) if calls else None, state["finish"], json.dumps(state["usage"]) if state["usage"] else None)
-
-
-SSE_OUT = "stream_id string, content string, reasoning string, tool_calls string, finish_reason string, usage string"
+_CALL = "index int, id string, type string, function struct<name: string, arguments: string>"
+_EVENT = f"choices array<struct<finish_reason: string, delta: struct<content: string, reasoning_content: string, reasoning: string, tool_calls: array<struct<{_CALL}>>>>>, usage string"
 
 
-def reassemble(chunks: DataFrame) -> DataFrame:
-    """Messages of whole streams (stream_id, seq, bytes), batch form; one stream is one reply and small."""
+def _joined(parts: Column) -> Column:
+    """The texts one after the other; null if nothing is in them."""
+    return F.nullif(F.array_join(F.filter(parts, lambda x: x.isNotNull()), ""), F.lit(""))
+
+
+def _last(values: Column) -> Column:
+    return F.try_element_at(F.filter(values, lambda x: x.isNotNull() & (x != "")), F.lit(-1))
+
+
+def message_of(body: Column) -> Column:
+    """Struct (content, reasoning, tool_calls, finish_reason, usage, message) of an event stream's text (T-1, S-24).
+
+    Lines that begin with data: hold one JSON event each; other lines, the end mark and unreadable events
+    count for nothing.  Texts are joined in order, parts of a call by its index; empty texts are null.
+    tool_calls holds id, name and arguments of each call, message the whole reply (both JSON)."""
+    data = F.transform(F.filter(F.split(body, r"\r?\n"), lambda line: F.ltrim(line).startswith("data:")), lambda line: F.trim(F.substring(F.ltrim(line), 6, 1 << 30)))
+    events = F.filter(F.transform(data, lambda t: F.when(t.startswith("{"), F.from_json(F.when(F.try_parse_json(t).isNotNull(), t), _EVENT))), lambda e: e.isNotNull())
+    choices = F.flatten(F.transform(events, lambda e: F.coalesce(e["choices"], F.expr("from_json('[]', 'array<struct<finish_reason: string, delta: struct<content: string, reasoning_content: string, reasoning: string, tool_calls: array<struct<index: int, id: string, type: string, function: struct<name: string, arguments: string>>>>>>')"))))
+    parts = F.flatten(F.filter(F.transform(choices, lambda c: c["delta"]["tool_calls"]), lambda t: t.isNotNull()))
+    place = lambda p: F.coalesce(p["index"], F.lit(0))
 
-    def fold(part: pd.DataFrame) -> pd.DataFrame:
-        state = new_message()
-        for b in part.sort_values("seq")["bytes"]:
-            feed(state, b)
-        feed(state, "\n")
-        return pd.DataFrame([(part["stream_id"].iloc[0], *finished(state))], columns=[c.split()[0] for c in SSE_OUT.split(", ")])
+    def call(at: Column) -> Column:
+        mine = F.filter(parts, lambda p: place(p) == at)
+        get = lambda f: F.transform(mine, f)
+        return F.struct(
+            _last(get(lambda p: p["id"])).alias("id"), F.coalesce(_last(get(lambda p: p["type"])), F.lit("function")).alias("type"),
+            F.struct(F.coalesce(_joined(get(lambda p: p["function"]["name"])), F.lit("")).alias("name"), F.coalesce(_joined(get(lambda p: p["function"]["arguments"])), F.lit("")).alias("arguments")).alias("function"),
+        )
 
-    return chunks.groupBy("stream_id").applyInPandas(fold, SSE_OUT)
+    calls = F.transform(F.array_sort(F.array_distinct(F.transform(parts, place))), call)
+    flat = F.transform(calls, lambda c: F.struct(c["id"].alias("id"), c["function"]["name"].alias("name"), c["function"]["arguments"].alias("arguments")))
+    content = _joined(F.transform(choices, lambda c: c["delta"]["content"]))
+    thought = _joined(F.transform(choices, lambda c: F.coalesce(F.nullif(c["delta"]["reasoning_content"], F.lit("")), c["delta"]["reasoning"])))
+    some = F.size(calls) > 0
+    message = F.to_json(F.struct(F.lit("assistant").alias("role"), content.alias("content"), thought.alias("reasoning_content"), F.when(some, calls).alias("tool_calls")))
+    return F.struct(
+        content.alias("content"), thought.alias("reasoning"), F.when(some, F.to_json(flat, {"ignoreNullFields": "false"})).alias("tool_calls"),
+        _last(F.transform(choices, lambda c: c["finish_reason"])).alias("finish_reason"), _last(F.transform(events, lambda e: e["usage"])).alias("usage"), message.alias("message"),
+    )
 
 
-class Reassembler(StatefulProcessor):
-    """Keeps each stream's state; gives the message out when its end mark [DONE] arrives."""
+def reassemble(chunks: DataFrame) -> DataFrame:
+    """Messages of whole streams (stream_id, seq, bytes), batch form; one stream is one reply and small.
+
+    Null chunks are empty; chunks of equal seq go by their text; a stream without an event gives nulls."""
+    bodies = chunks.groupBy("stream_id").agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("seq", F.coalesce("bytes", F.lit("")).alias("bytes")))), lambda c: c["bytes"]), "").alias("body"))
+    return bodies.select("stream_id", message_of(F.col("body")).alias("m")).select("stream_id", "m.*")
+
+
+class Gatherer(StatefulProcessor):
+    """Keeps the text of each stream and gives it out whole when its end mark has come."""
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.state = handle.getValueState("message", "json string")
+        self.text = handle.getValueState("text", "body string")
 
     def handleInputRows(self, key, rows: Iterator[pd.DataFrame], timerValues) -> Iterator[pd.DataFrame]:
-        state = json.loads(self.state.get()[0]) if self.state.exists() else new_message()
-        done = False
-        for part in rows:
-            for b in part.sort_values("seq")["bytes"]:
-                done = done or "[DONE]" in (b or "")
-                feed(state, b)
-        if done:
-            feed(state, "\n")
-            self.state.clear()
-            yield pd.DataFrame([(key[0], *finished(state))], columns=[c.split()[0] for c in SSE_OUT.split(", ")])
+        part = pd.concat(rows).sort_values("seq")
+        body = (self.text.get()[0] if self.text.exists() else "") + "".join(part["bytes"].dropna())
+        if END_MARK in body:
+            self.text.clear()
+            yield pd.DataFrame({"stream_id": [key[0]], "body": [body]})
         else:
-            self.state.update((json.dumps(state),))
+            self.text.update((body,))
 
     def close(self) -> None:
         pass
 
 
+END_MARK = "[DONE]"
+
+
 def reassemble_stream(chunks: DataFrame) -> DataFrame:
-    """The streaming form of reassemble; needs the RocksDB state store."""
-    return chunks.groupBy("stream_id").transformWithStateInPandas(Reassembler(), SSE_OUT, "Append", "None")
+    """The streaming form of reassemble; needs the RocksDB state store.  Only the gathering of a stream's
+    text is Python, the reply is read out of it as in the batch form."""
+    whole = chunks.groupBy("stream_id").transformWithStateInPandas(Gatherer(), "stream_id string, body string", "Append", "None")
+    return whole.select("stream_id", message_of(F.col("body")).alias("m")).select("stream_id", "m.*")
 
 
 # --- token bucket ---------------------------------------------------------------------------------
