@@ -22,4 +22,4 @@ def query(name: str, sql: str | None = None):
     return put
 
 
-from tracewright.plans import corpus, evaluation, reports, sequences, sessions, usage  # noqa: E402,F401
+from tracewright.plans import corpus, evaluation, formats, reports, sequences, sessions, usage  # noqa: E402,F401

@@ -136,7 +136,7 @@ def recipe_counts(s, d):
     return C.union_sources(*counts)
 
 
-@query("cosine_neighbours", """SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine FROM embeddings a JOIN embeddings b ON a.label = b.label AND a.vec_id < b.vec_id WHERE a.vec_id % 50 = 0 OR b.vec_id % 50 = 0""")
+@query("cosine_neighbours", """SELECT a.vec_id AS a, b.vec_id AS b, round(list_cosine_similarity(a.embedding::DOUBLE[], b.embedding::DOUBLE[]), 5) AS cosine FROM embeddings a JOIN embeddings b ON a.vec_id < b.vec_id WHERE a.vec_id % 50 = 0 OR b.vec_id % 50 = 0""")
 def cosine_neighbours(s, d):
     from tracewright.operators.vectors import cosine_to_queries
 

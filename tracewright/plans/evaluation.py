@@ -111,8 +111,9 @@ def failure_messages(s, d):
     return E.failures(rows, "key", "stderr").select("key", F.col("n").cast("bigint").alias("n"), "message")
 
 
-@query("verification_summaries", _LINES + """, o AS (SELECT run_id::VARCHAR || '/' || id AS key, passed FROM r WHERE stderr IS NOT NULL), q AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY k) AS n, message FROM u), g AS (SELECT key, count(*)::INT AS c, arg_min(message, n) AS first FROM q GROUP BY 1)
-SELECT key, passed, CASE WHEN passed THEN 0 ELSE coalesce(c, 0) END::INT AS failure_count, CASE WHEN passed THEN NULL WHEN c = 1 THEN first WHEN c > 1 THEN first || ' (+' || (c - 1) || CASE WHEN c > 2 THEN ' more failing checks)' ELSE ' more failing check)' END ELSE 'Verification failed.' END AS headline FROM o LEFT JOIN g USING (key)""")
+@query("verification_summaries", _LINES + """, o AS (SELECT run_id::VARCHAR || '/' || id AS key, passed, CASE WHEN contains(stderr, 'ModuleNotFoundError') THEN 'An import or module path error blocked the test suite from running.' WHEN contains(stderr, 'SyntaxError') THEN 'A syntax error prevented tests from executing.'
+WHEN contains(stderr, 'collecting ... ERROR') OR contains(lower(stderr), 'errors during collection') THEN 'Pytest failed while collecting tests.' ELSE 'Verification failed; inspect pytest output for details.' END AS said FROM r WHERE stderr IS NOT NULL), q AS (SELECT key, row_number() OVER (PARTITION BY key ORDER BY k) AS n, message FROM u), g AS (SELECT key, count(*)::INT AS c, arg_min(message, n) AS first FROM q GROUP BY 1)
+SELECT key, passed, CASE WHEN passed THEN 0 ELSE coalesce(c, 0) END::INT AS failure_count, CASE WHEN passed THEN NULL WHEN c = 1 THEN first WHEN c > 1 THEN first || ' (+' || (c - 1) || CASE WHEN c > 2 THEN ' more failing checks)' ELSE ' more failing check)' END ELSE said END AS headline FROM o LEFT JOIN g USING (key)""")
 def verification_summaries(s, d):
     rows = _problems(s, d).where("stderr is not null").select(F.concat_ws("/", F.col("run_id").cast("string"), "id").alias("key"), "stderr", "passed")
     return E.summarise_verification(rows, "key", "stderr")
@@ -157,7 +158,7 @@ def round_robin_pick(s, d):
 def asof_last_signup(s, d):
     e = table(s, d, "events")
     signups = e.where("event_type = 'signup'").select("user_id", F.col("ts").alias("sts"), F.col("event_id").alias("signup_id"), F.col("event_id").alias("tie"))
-    return K.asof_join(e.select("user_id", "ts", "event_id"), signups, "user_id", "ts", "sts", "signup_id", "tie").select("event_id", "signup_id")
+    return K.asof_join(e.select("user_id", "ts", "event_id"), signups, "user_id", "ts", "sts", "signup_id", "tie", bucket=30 * 86_400_000_000).select("event_id", "signup_id")
 
 
 @query("interval_join_counts", """WITH s AS (SELECT user_id, event_id AS span_id, epoch_us(ts) // 1000000 AS a, epoch_us(ts) // 1000000 + 3600 AS b FROM events WHERE event_type = 'signup'), p AS (SELECT user_id, event_id, epoch_us(ts) // 1000000 AS t FROM events) SELECT span_id, count(*) AS n FROM p JOIN s USING (user_id) WHERE t BETWEEN a AND b GROUP BY 1""")

@@ -10,6 +10,7 @@ from tracewright.operators import quality as Q
 from tracewright.operators import reports as R
 from tracewright.operators import usage as U
 from tracewright.plans.contract import query
+from tracewright.plans.sessions import _COMPACT
 from tracewright.session import table
 from tracewright.sources.readers import harness_profile
 
@@ -92,7 +93,7 @@ def used_tool_names(s, d):
     return t.select("sample_id", F.array_join(F.array_sort(M.used_tools(F.col("tools"), F.col("messages"))), ",").alias("names"))
 
 
-@query("approx_token_sizes", None)
+@query("approx_token_sizes", f"SELECT sample_id, ({_COMPACT}) // 4 AS n FROM sft_dataset")
 def approx_token_sizes(s, d):
     return table(s, d, "sft_dataset").select("sample_id", Q.approx_tokens(F.col("messages")).alias("n"))
 

@@ -105,6 +105,13 @@ f AS (SELECT *, CASE WHEN row_number() OVER w = 1 OR name IS DISTINCT FROM lag(n
 g AS (SELECT *, sum(fresh) OVER (PARTITION BY sample_id ORDER BY pos ROWS UNBOUNDED PRECEDING) AS island FROM f), i AS (SELECT sample_id, island, name, count(*) AS length FROM g GROUP BY 1, 2, 3)"""
 
 
+# Characters of the messages as compact JSON without nulls: each field with its name, quotes, colon and comma.
+_QUOTED = "length(to_json({0}))"
+_COMPACT_CALL = "(2 + coalesce({q_id} + 6, 0) + coalesce({q_type} + 8, 0) + coalesce(12 + coalesce({q_name} + 8, 0) + coalesce({q_args} + 13, 0), 0))".format(q_id=_QUOTED.format("c.id"), q_type=_QUOTED.format('c."type"'), q_name=_QUOTED.format('c."function".name'), q_args=_QUOTED.format('c."function".arguments'))
+_COMPACT_MESSAGE = "(1 + coalesce({q[0]} + 8, 0) + coalesce({q[1]} + 11, 0) + coalesce({q[2]} + 21, 0) + coalesce({q[3]} + 16, 0) + coalesce({q[4]} + 8, 0) + coalesce(15 + list_sum(list_transform(m.tool_calls, lambda c: " + _COMPACT_CALL + " + 1)), CASE WHEN m.tool_calls IS NULL THEN 0 ELSE 16 END))"
+_COMPACT = "coalesce(list_sum(list_transform(messages, lambda m: " + _COMPACT_MESSAGE.format(q=[_QUOTED.format(f"m.{f}") for f in ("role", "content", "reasoning_content", "tool_call_id", "name")]) + " + 1)) + 1, 2)"
+
+
 def _call_rows(s, d):
     return _sft(s, d).select("sample_id", F.posexplode(M.calls(F.col("messages"))).alias("pos", "c")).select("sample_id", "pos", F.col("c.function.name").alias("name"), F.col("c.function.arguments").alias("arguments"))
 
@@ -123,7 +130,7 @@ def tool_loop_counts(s, d):
     "drop_reason_cascade",
     _ISLANDS + f""", loops AS (SELECT DISTINCT sample_id FROM i WHERE length >= 3), bad AS (SELECT DISTINCT sample_id FROM c WHERE arguments IS NULL OR trim(arguments) = '' OR NOT json_valid(arguments)),
     r AS (SELECT s.sample_id, CASE WHEN regexp_matches(list_filter(messages, lambda m: m.role = 'user')[-1].content, '(?i)(^|[^\\p{{L}}\\p{{N}}_])(that''?s (wrong|not right|incorrect)|doesn''?t work|not what i|wtf|you broke|still (wrong|broken|failing))($|[^\\p{{L}}\\p{{N}}_])') THEN 'correction'
-    WHEN bad.sample_id IS NOT NULL THEN 'malformed' WHEN loops.sample_id IS NOT NULL THEN 'loop' END AS drop_reason FROM sft_dataset s LEFT JOIN bad USING (sample_id) LEFT JOIN loops USING (sample_id))
+    WHEN bad.sample_id IS NOT NULL THEN 'malformed' WHEN loops.sample_id IS NOT NULL THEN 'loop' WHEN {_COMPACT} // 4 > 64000 THEN 'long' END AS drop_reason FROM sft_dataset s LEFT JOIN bad USING (sample_id) LEFT JOIN loops USING (sample_id))
     SELECT coalesce(drop_reason, 'kept') AS drop_reason, count(*) AS n FROM r GROUP BY 1""",
 )
 def drop_reason_cascade(s, d):
@@ -178,12 +185,18 @@ def call_results(s, d):
     return joined.select("sample_id", F.col("pos").cast("bigint").alias("pos"), "call_id", "name", F.md5("result").alias("result_digest"))
 
 
+# The shell patterns once more, for the other engine: word borders are spelt out where a word may begin after '-' or '.'.
+_SHELL_EDITS = "(^|[^a-z0-9_])(mkdir|rmdir|rm\\s|mv\\s|cp\\s|touch\\s|tee\\s|chmod|chown|ln\\s|git\\s+(commit|push|add|checkout|reset|merge|rebase)|pip3?\\s+install|npm\\s+(install|i)([^a-z0-9_]|$)|yarn\\s+add|apt(-get)?\\s+install|json\\.dump)|[A-Za-z0-9_](>{1,2}\\s*[^&|]|\\.write\\(|open\\([^)]*[''\"]w)"
+
+
 @query(
     "tool_classes",
-    f"""WITH c AS (SELECT c."function".name AS name FROM (SELECT unnest({_CALLS}) AS c FROM sft_dataset) WHERE c."function".name NOT IN ('bash', 'shell', 'terminal', 'exec', 'run', 'cmd'))
-    SELECT name, CASE WHEN lower(name) IN ('task', 'agent', 'dispatch_agent', 'subagent', 'spawn', 'delegate') THEN 'subagent' WHEN regexp_matches(lower(name), '^(todo|update_plan|plan)') THEN 'planning'
-    WHEN regexp_matches(lower(name), '^(write|edit|str_replace|create_file|createfile|multiedit|apply_patch|patch|delete|remove|mkdir|move|rename)') THEN 'mutating'
-    WHEN regexp_matches(lower(name), '^(read|view|cat|glob|grep|ls|list|search|codebase_search|web_search|websearch|webfetch|web_fetch|fetch|conversation_search|recent_chats|get|find)') THEN 'readonly' ELSE 'other' END AS cat, count(*) AS calls FROM c GROUP BY 1, 2""",
+    f"""WITH c AS (SELECT c."function".name AS name, c."function".arguments AS a FROM (SELECT unnest({_CALLS}) AS c FROM sft_dataset)),
+    x AS (SELECT name, lower(coalesce(name, '')) AS n, CASE WHEN json_valid(a) THEN coalesce(nullif(json_extract_string(a, '$.command'), ''), nullif(json_extract_string(a, '$.cmd'), ''), nullif(json_extract_string(a, '$.script'), ''), '') ELSE '' END AS command FROM c)
+    SELECT name, CASE WHEN n IN ('task', 'agent', 'dispatch_agent', 'subagent', 'spawn', 'delegate') OR regexp_matches(n, '(^|_)agent($|_)') THEN 'subagent' WHEN regexp_matches(n, '^(todo|update_plan|plan)') THEN 'planning'
+    WHEN regexp_matches(n, '^(write|edit|str_replace|create_file|createfile|multiedit|apply_patch|patch|delete|remove|mkdir|move|rename)') THEN 'mutating'
+    WHEN n IN ('bash', 'shell', 'terminal', 'exec', 'run', 'cmd') THEN CASE WHEN regexp_matches(command, '{_SHELL_EDITS}') THEN 'mutating' ELSE 'readonly' END
+    WHEN regexp_matches(n, '^(read|view|cat|glob|grep|ls|list|search|codebase_search|web_search|websearch|webfetch|web_fetch|fetch|conversation_search|recent_chats|get|find)') THEN 'readonly' ELSE 'other' END AS cat, count(*) AS calls FROM x GROUP BY 1, 2""",
 )
 def tool_classes(s, d):
     return _call_rows(s, d).groupBy("name", T.tool_class(F.col("name"), F.col("arguments")).alias("cat")).agg(F.count(F.lit(1)).alias("calls"))

@@ -58,18 +58,22 @@ def checkpoint_dir(spark: SparkSession) -> str:
     return named
 
 
-def durable(df: DataFrame) -> DataFrame:
-    """Cut the lineage with a table written into the shared checkpoint folder; survives lost executors.
-
-    Columnar and compressed, so a later step reads only the columns it needs and the planner knows the
-    table's size.  The folder is removed when the application ends."""
-    spark = df.sparkSession
+def scratch(spark: SparkSession) -> str:
+    """A fresh path in the shared checkpoint folder; removed when the application ends."""
     base = f"{checkpoint_dir(spark).rstrip('/')}/tracewright-{spark.sparkContext.applicationId}"
     hadoop = spark._jvm.org.apache.hadoop.fs.Path(base)
     if base not in _folders:
         hadoop.getFileSystem(spark._jsc.hadoopConfiguration()).deleteOnExit(hadoop)
         _folders.add(base)
-    path = f"{base}/{uuid.uuid4().hex}"
+    return f"{base}/{uuid.uuid4().hex}"
+
+
+def durable(df: DataFrame) -> DataFrame:
+    """Cut the lineage with a table written into the shared checkpoint folder; survives lost executors.
+
+    Columnar and compressed, so a later step reads only the columns it needs and the planner knows the
+    table's size.  The folder is removed when the application ends."""
+    spark, path = df.sparkSession, scratch(df.sparkSession)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
 
