@@ -162,13 +162,12 @@ def p3_found(spark: SparkSession, sf_dir: str) -> DataFrame:
     return expand(durable(members), durable(links)).distinct()
 
 
-def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """One row for each session with a text: rec_id, its class of linked sessions and its representative's links.
-
-    Five-word runs and a similarity of 0.8; classes are components of the links."""
+def classes(records: DataFrame, words: int, threshold: float) -> DataFrame:
+    """rec_id, class_id, n_links: one row for each record with a text; classes are components of the links
+    between different texts, n_links counts those of the record's own."""
     from tracewright.llm.components import components
 
-    members, links = near_duplicates(_records(spark, sf_dir), words=5, threshold=0.8)
+    members, links = near_duplicates(records, words, threshold)
     links = durable(links)
     labels = components(links.select(F.col("a").cast("string").alias("u"), F.col("b").cast("string").alias("v")))
     degree = links.select(F.explode(F.array("a", "b")).alias("rep")).groupBy("rep").agg(F.count(F.lit(1)).alias("n_links"))
@@ -176,4 +175,14 @@ def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
     return members.join(label, "rep", "left").join(degree, "rep", "left").select("rec_id", F.coalesce("class_id", "rep").alias("class_id"), F.coalesce("n_links", F.lit(0)).alias("n_links"))
 
 
-QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes}
+def p3_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes of sessions alike in at least 0.8 of their five-word runs."""
+    return classes(_records(spark, sf_dir), words=5, threshold=0.8)
+
+
+def p3_found_classes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Classes at the settings of p3_found, three-word runs and 0.7; the form without all pairs of copies."""
+    return classes(_records(spark, sf_dir), words=3, threshold=0.7)
+
+
+QUERIES = {"p3_found": p3_found, "p3_classes": p3_classes, "p3_found_classes": p3_found_classes}

@@ -96,15 +96,18 @@ def _chunk_summaries(messages: DataFrame) -> DataFrame:
     spread = spread.repartitionByRange(max(2, shuffle_partitions(messages.sparkSession)), *order).sortWithinPartitions(*order)
     fields = "session_id string, at bigint, record_id bigint, pos int, first_role string, last_role string, adjacent boolean, has_user boolean, early_reply boolean, unanswered boolean, waiting boolean"
 
+    kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), *[pa.bool_()] * 5]
+
+    def packed(rows: list[list]) -> pa.RecordBatch:
+        return pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(zip(*rows), kinds)], names=[f.split()[0] for f in fields.split(", ")])
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        out: list[list] = []  # the last one is still open: a session has one summary in a chunk, however long
         for batch in batches:
-            out: list[list] = []
-            now = object()
             for session, at, record, pos, role, visible, calling in zip(*(c.to_pylist() for c in batch.columns)):
-                if session != now:
-                    now = session
-                    s = [session, at, record, pos, None, None, False, False, False, False, False]
-                    out.append(s)
+                if not out or session != out[-1][0]:
+                    out.append([session, at, record, pos, None, None, False, False, False, False, False])
+                s = out[-1]
                 if role == "system":
                     continue
                 if s[4] is None:
@@ -120,9 +123,11 @@ def _chunk_summaries(messages: DataFrame) -> DataFrame:
                         s[10] = False
                     else:
                         s[8] = True
-            columns = list(zip(*out)) if out else [[] for _ in range(11)]
-            kinds = [pa.string(), pa.int64(), pa.int64(), pa.int32(), pa.string(), pa.string(), *[pa.bool_()] * 5]
-            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(columns, kinds)], names=[f.split()[0] for f in fields.split(", ")])
+            if len(out) > 1:
+                yield packed(out[:-1])
+                del out[:-1]
+        if out:
+            yield packed(out)
 
     return spread.mapInArrow(run, fields)
 
