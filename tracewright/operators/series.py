@@ -8,6 +8,8 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from tracewright.session import with_previous, with_running_sum
+
 
 def _w(key: str, idx: str):
     return Window.partitionBy(key).orderBy(idx)
@@ -22,13 +24,14 @@ def rolling(df: DataFrame, key: str, idx: str, value: str, width: int, how: str
 
 
 def cumsum(df: DataFrame, key: str, idx: str, value: str) -> DataFrame:
-    return df.withColumn(value, F.sum(value).over(_w(key, idx).rowsBetween(Window.unboundedPreceding, 0)))
+    """Sums up to each value (W-9)."""
+    return with_running_sum(df, key, [idx], F.col(value), value)
 
 
 def diff(df: DataFrame, key: str, idx: str, value: str) -> DataFrame:
     """Differences of neighbours; the first row of each key goes (W-9)."""
-    w = _w(key, idx)
-    return df.withColumn("__n", F.row_number().over(w)).withColumn(value, F.col(value) - F.lag(value).over(w)).where("__n > 1").drop("__n")
+    seen = with_previous(df, key, [idx], {"__before": F.struct(F.col(value).alias("v"))})
+    return seen.where("__before is not null").withColumn(value, F.col(value) - F.col("__before.v")).drop("__before")
 
 
 def ewma(df: DataFrame, key: str, idx: str, value: str, alpha: float) -> DataFrame:

@@ -6,13 +6,13 @@ import heapq
 from collections.abc import Iterator
 
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tracewright.functions import text as X
 from tracewright.operators import messages as M
 from tracewright.operators.trace import steps
-from tracewright.session import with_previous, with_rank
+from tracewright.session import with_previous, with_rank, with_running_sum
 
 FIGURES = ("prompt", "completion", "total", "cached", "reasoning")
 GAP_MINUTES = 30
@@ -175,9 +175,10 @@ def latest_session(sessions: DataFrame) -> DataFrame:
 
 def gap_sessions(events: DataFrame, user: str, ts: str, tie: str, minutes: int = GAP_MINUTES) -> DataFrame:
     """Events with session_no (from 1): a new one after more than ``minutes`` without an event (T-6)."""
-    w = Window.partitionBy(user).orderBy(ts, tie)
-    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.lag(ts).over(w).cast("timestamp")) > minutes * 60_000_000
-    return events.withColumn("session_no", F.sum(F.coalesce(gap, F.lit(False)).cast("int")).over(w.rowsBetween(Window.unboundedPreceding, 0)) + 1)
+    seen = with_previous(events, user, [ts, tie], {"__before": F.col(ts)})
+    gap = F.unix_micros(F.col(ts).cast("timestamp")) - F.unix_micros(F.col("__before").cast("timestamp")) > minutes * 60_000_000
+    numbered = with_running_sum(seen, user, [ts, tie], F.coalesce(gap, F.lit(False)).cast("int"), "session_no")
+    return numbered.withColumn("session_no", F.col("session_no") + 1).drop("__before")
 
 
 def message_signatures(messages: Column) -> Column:

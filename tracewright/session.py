@@ -119,6 +119,23 @@ def with_previous(df: DataFrame, key: str, order: list[str], values: dict[str, C
     return both.select(*df.columns, *[F.coalesce(f"__local_{n}", f"__carry_{n}").alias(n) for n in values])
 
 
+def with_running_sum(df: DataFrame, key: str, order: list[str], value: Column, name: str) -> DataFrame:
+    """The rows with the sum of the expression up to and with each row, in the order of the key.
+
+    Range-sorted parts are summed apart and the sums of the parts before are added, so a key of any size
+    spreads over tasks.  Null values count for nothing; ``order`` should be total."""
+    made = df.withColumn("__value", value)
+    placed = durable(made.repartitionByRange(max(2, shuffle_partitions(df.sparkSession)), key, *order).withColumn("__part", F.spark_partition_id()))
+    here = Window.partitionBy(key, "__part").orderBy(*order).rowsBetween(Window.unboundedPreceding, 0)
+    before = Window.partitionBy("__key").orderBy("__part").rowsBetween(Window.unboundedPreceding, -1)  # a row for each part
+    sums = placed.groupBy(F.col(key).alias("__key"), F.col("__part").alias("__of")).agg(F.sum("__value").alias("__total")).withColumnRenamed("__of", "__part")
+    carried = sums.select("__key", F.col("__part").alias("__of"), F.sum("__total").over(before).alias("__sum_before"))
+    local = placed.withColumn("__sum_here", F.sum("__value").over(here))
+    both = local.join(carried, F.col(key).eqNullSafe(F.col("__key")) & (F.col("__part") == F.col("__of")), "left")
+    total = F.coalesce(F.col("__sum_here") + F.col("__sum_before"), "__sum_here", "__sum_before")
+    return both.select(*[c for c in df.columns if c != name], total.alias(name)).select(*df.columns, *([] if name in df.columns else [name]))
+
+
 def shuffle_partitions(spark: SparkSession) -> int:
     return int(spark.conf.get("spark.sql.shuffle.partitions"))
 
