@@ -280,3 +280,24 @@ def test_cosine_neighbours_meet_all_labels(spark, tmp_path):
     size = lambda v: sum(x * x for x in v) ** 0.5
     want = {(a, b): sum(p * q for p, q in zip(x, y)) / size(x) / size(y) for a, x, _ in rows for b, y, _ in rows if a < b and (a % 50 == 0 or b % 50 == 0)}
     assert set(got) == set(want) and all(abs(got[k] - want[k]) < 2e-5 for k in want)
+
+
+def test_one_hot_key_spreads_and_keeps_its_order(spark):
+    """Previous values and running sums of a key cut into several parts; null keys and values, an empty table."""
+    import random
+
+    from tracewright.session import with_previous, with_running_sum
+
+    random.seed(1)
+    rows = [(None if k % 97 == 0 else "hot" if k % 5 else f"k{k % 7}", k, None if k % 11 == 0 else random.randint(-5, 9)) for k in range(1500)]
+    random.shuffle(rows)
+    df = spark.createDataFrame(rows, "g string, i int, v int").withColumn("part", F.lit("clash"))
+    want_sum, want_last, total, last = {}, {}, {}, {}
+    for g, i, v in sorted(rows, key=lambda r: r[1]):
+        want_last[i] = last.get(g)
+        if v is not None:
+            total[g], last[g] = total.get(g, 0) + v, v
+        want_sum[i] = total.get(g)
+    assert {r.i: r.s for r in with_running_sum(df, "g", ["i"], F.col("v"), "s").collect()} == want_sum
+    assert {r.i: r.p for r in with_previous(df, "g", ["i"], {"p": F.col("v")}).collect()} == want_last
+    assert with_running_sum(df.limit(0), "g", ["i"], F.col("v"), "s").count() == 0 and with_previous(df.limit(0), "g", ["i"], {"p": F.col("v")}).count() == 0
